@@ -7,10 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstrata.llm import chat
+from revstrata.llm import chat, fingerprints, html_extract, token_scan
 from revstrata.tables import load
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, whose last half is the next document's first half as many."""
+    return fingerprints.fingerprint_documents(load(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return token_scan.count_tokens(load(spark, sf_dir, "documents"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted and read back from the output."""
     rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -53,7 +69,12 @@ FROM escaped GROUP BY conv_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_chat_format": op5_chat_format}
+    return {
+        "op1_html_extract": op1_html_extract,
+        "op2_fingerprints": op2_fingerprints,
+        "op4_token_counts": op4_token_counts,
+        "op5_chat_format": op5_chat_format,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
