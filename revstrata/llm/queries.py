@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstrata.llm import chat, fingerprints, html_extract, token_scan
+from revstrata.llm import chat, fingerprints, html_extract, langid, token_scan, toxicity
 from revstrata.tables import load
 
 
@@ -50,6 +50,16 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    return langid.identify(load(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 OP5_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -74,6 +84,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_fingerprints": op2_fingerprints,
         "op4_token_counts": op4_token_counts,
         "op5_chat_format": op5_chat_format,
+        "op7_language_id": op7_language_id,
+        "op10_toxicity": op10_toxicity,
     }
 
 
