@@ -10,6 +10,7 @@ text's sketch. A fingerprint is the length, the whole text's hash and the sketch
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,12 +119,12 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
     return F.when(key.isNull(), 0).otherwise(coarse * step + fine)
 
 
-def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> tuple[DataFrame, object]:
+def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """Rows with the next row's text in ``next_text``, in ascending order of ``key``; the last row's next is the first.
 
     Rows are dealt once, to ranges of ``key`` with about as many rows each. Only the first row
-    of a range is copied, to the range before it, as a row with ``ghost`` set; bounds and first
-    keys are two numbers a range on the driver. Returns the rows and the window they lie in.
+    of a range is copied, to the range before it, behind that range's own rows; bounds and first
+    keys are two numbers a range on the driver.
     """
     spark = docs.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -140,10 +141,9 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets:
         F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("g")), F.struct(by_bucket(before).cast("int").alias("b"), F.lit(True).alias("g"))),
     ).otherwise(F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("g"))))
     dealt = here.withColumn("copy", F.explode(copies)).withColumn("bucket", F.col("copy.b")).withColumn("ghost", F.col("copy.g")).drop("copy")
-    dealt = dealt.repartition(n, "bucket")
-    # the first range's first row is after all others in the last range, and there only by its ghost
     window = Window.partitionBy("bucket").orderBy(F.col("ghost").asc(), F.col(key).asc_nulls_first(), F.col(text))
-    return dealt.withColumn("next_text", F.lead(text).over(window)), window
+    placed = dealt.repartition(n, "bucket").withColumn("next_text", F.lead(text).over(window))
+    return placed.where(~F.col("ghost")).drop("bucket", "ghost")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -154,46 +154,28 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     not read.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    placed, window = with_next(rows)
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
+    placed = with_next(rows)
 
     def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        powers = Powers()
-        for texts, changed in batches:
+        powers, held = Powers(), (None, None, "")
+
+        def prints(text: str) -> tuple[tuple, str]:
+            arrays = prefix_arrays(code_points(text), powers)
+            return arrays, fingerprint(arrays, powers)
+
+        for texts, following in batches:
             out = []
-            for a, b in zip(texts, changed, strict=True):
-                x, y = prefix_arrays(code_points(a), powers), prefix_arrays(code_points(b), powers)
-                f, g = fingerprint(x, powers), fingerprint(y, powers)
-                out.append((f, g, likeness(f, g), common_extension(x, 0, y, 0, powers)))
-            yield pd.DataFrame(out, columns=["fingerprint", "edited_fingerprint", "near_edited", "kept_chars"])
-
-    prints = F.pandas_udf(of, "fingerprint string, edited_fingerprint string, near_edited double, kept_chars long")
-    marked = placed.withColumn("edited", edited).withColumn("f", prints("text", "edited"))
-
-    def near(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in batches:
-            yield pd.Series([likeness(x, y) if y is not None else np.nan for x, y in zip(a, b, strict=True)], dtype="float64")
-
-    following = marked.select(
-        "doc_id",
-        "ghost",
-        n.cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        "f.*",
-        F.lead("f.fingerprint").over(window).alias("next_fingerprint"),
-    )
-    return following.where(~F.col("ghost")).select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        "near_edited",
-        F.pandas_udf(near, "double")("fingerprint", "next_fingerprint").alias("near_next"),
-        "kept_chars",
-    )
+            for a, b in zip(texts, following, strict=True):
+                x, f = held[1:] if held[0] == a else prints(a)
+                half = len(a) // 2
+                changed = a[: len(a) - half] + b[:half]
+                y, g = prints(changed)
+                held = (b, *prints(b))
+                out.append((len(a), hashlib.sha256(changed.encode()).hexdigest(), f, g, likeness(f, g), likeness(f, held[2]), common_extension(x, 0, y, 0, powers)))
+            yield pd.DataFrame(out, columns=["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "kept_chars"])
+
+    prints = F.pandas_udf(of, "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, kept_chars long")
+    return placed.select("doc_id", prints("text", "next_text").alias("f")).select("doc_id", "f.*")
 
 
 ship(__name__)
