@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstrata.llm import chat, fingerprints, html_extract, langid, token_scan, toxicity
+from revstrata.llm import chat, fingerprints, html_extract, jaccard, langid, token_scan, toxicity
 from revstrata.tables import load
 
 
@@ -50,6 +50,11 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word n-grams have a Jaccard likeness of 0.85 or more."""
+    return jaccard.near_duplicates(load(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     return langid.identify(load(spark, sf_dir, "documents"))
@@ -78,16 +83,37 @@ FROM escaped GROUP BY conv_id
 """
 
 
+#: One shingle per distinct word sequence; pairs by equal shingles; components as transitive closure.
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END) AS s FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+), ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extract": op1_html_extract,
         "op2_fingerprints": op2_fingerprints,
         "op4_token_counts": op4_token_counts,
         "op5_chat_format": op5_chat_format,
+        "op6_ngram_jaccard": op6_ngram_jaccard,
         "op7_language_id": op7_language_id,
         "op10_toxicity": op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL}
+    return {"op5_chat_format": OP5_SQL, "op6_ngram_jaccard": OP6_SQL}
