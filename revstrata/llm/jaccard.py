@@ -270,4 +270,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
 
 
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with its own columns, less all but the smallest doc_id of each group of linked documents.
+
+    A doc_id stands for one document: of rows that share one, one stays. Rows with a null doc_id stay, one for each text.
+    """
+    keep = near_duplicates(docs, words, percent).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.unionAll(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))
+
+
 ship(__name__)

@@ -105,7 +105,7 @@ def fit(docs: DataFrame, per_class: int = 1500, rounds: int = 3, epochs: int = 2
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred and score, from the column ``text`` alone.
+    """``docs`` with lang_pred and score (columns of these names are replaced), from the column ``text`` alone.
 
     A null text and one without a letter have ``und`` and 0.0, as has every text under a model without
     languages. Equal texts have equal results; the model is the same for any number of rows.
@@ -131,6 +131,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return kept.withColumn("lang_pred", F.col("_language.lang_pred")).withColumn("score", F.col("_language.score")).drop("_language")
 
 
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with its own columns, whose language is determined with a score of at least ``least``."""
+    names = {c: f"_own_{k}" for k, c in enumerate(docs.columns) if c.lower() in ("lang_pred", "score")}
+    kept = predict(docs.withColumnsRenamed(names), model).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return kept.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
+
+
 def identify(docs: DataFrame, **how) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row; a null doc_id is not held out and not learned from."""
     rows = docs.select("doc_id", "text", "lang")

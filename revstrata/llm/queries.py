@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstrata.llm import chat, fingerprints, html_extract, jaccard, langid, token_scan, toxicity
+from revstrata.llm import chat, fingerprints, html_extract, jaccard, langid, mixing, sentencepiece_lattice, token_scan, toxicity
 from revstrata.tables import load
 
 
@@ -60,6 +60,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(load(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as identifiers of the public piece model, and whether they decode to the text again."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_lattice.encode(docs).select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), "n_pieces", "ids", "lossless")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's calibrated weight and probability under tempered targets, and whether it is drawn."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.calibrate(docs).drop("text")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document."""
     return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
@@ -111,6 +123,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_chat_format": op5_chat_format,
         "op6_ngram_jaccard": op6_ngram_jaccard,
         "op7_language_id": op7_language_id,
+        "op8_sentencepiece": op8_sentencepiece,
+        "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
     }
 

@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, rounds: int
 
 
 def predict(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score and predicted, from the column ``text`` alone; a null text is scored as an empty one."""
+    """``docs`` with score and predicted (columns of these names are replaced), from the column ``text`` alone; a null text is scored as an empty one."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -126,6 +126,13 @@ def predict(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Data
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with its own columns, that score below the threshold."""
+    names = {c: f"_own_{k}" for k, c in enumerate(docs.columns) if c.lower() in ("predicted", "score")}
+    kept = predict(docs.withColumnsRenamed(names), model, threshold).where(F.col("predicted") == 0)
+    return kept.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
+
+
 def score(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row; a null doc_id is not held out."""
     rows = docs.select("doc_id", "text")
