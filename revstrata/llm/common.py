@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import uuid
@@ -45,6 +46,12 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of plans that nothing refers to any more, before the next round writes more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder through Spark's own file system classes."""
     jvm = spark.sparkContext._jvm

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstrata.llm import chat, fingerprints, html_extract, jaccard, langid, mixing, sentencepiece_lattice, token_scan, toxicity
+from revstrata.llm import ann, chat, fingerprints, html_extract, jaccard, langid, mixing, sentencepiece_lattice, token_scan, toxicity
 from revstrata.tables import load
 
 
@@ -22,6 +22,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(load(spark, sf_dir, "documents"))
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id is divisible by 20."""
+    return ann.nearest(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted in flat token files."""
     return token_scan.count_tokens(load(spark, sf_dir, "documents"))
@@ -119,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extract": op1_html_extract,
         "op2_fingerprints": op2_fingerprints,
+        "op3_ann": op3_ann,
         "op4_token_counts": op4_token_counts,
         "op5_chat_format": op5_chat_format,
         "op6_ngram_jaccard": op6_ngram_jaccard,
