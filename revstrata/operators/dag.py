@@ -33,8 +33,9 @@ def edges_of(nodes: DataFrame) -> DataFrame:
 
 def assert_unique(nodes: DataFrame) -> DataFrame:
     """``nodes``, failing when a rev occurs twice."""
-    twice = nodes.groupBy("rev").count().where("count > 1").limit(1)
-    return nodes.join(twice.select("rev", F.raise_error(F.lit("a node occurs twice")).alias("_fail")), "rev", "left").drop("_fail")
+    counts = nodes.groupBy("rev").count()
+    once = F.when(F.col("count") > 1, F.raise_error(F.lit("a node occurs twice")).cast("boolean")).otherwise(True)
+    return nodes.join(counts, "rev").where(once).drop("count")
 
 
 def heads(nodes: DataFrame, edges: DataFrame, matches: Column | None = None) -> DataFrame:
