@@ -8,7 +8,8 @@
    class is grouped with the leaders that it is verified to link with.
 4. The token-group matrix holds each group's union of listed tokens, with the sizes and places at
    which its members hold them. Pairs of groups whose overlap in it could reach the threshold qualify;
-   only these are opened, and only their members that could link are verified.
+   only these are opened, and only their members that could link are verified: those whose listed tokens and
+   whose spreads over a few dozen buckets of tokens allow the overlap.
 
 As only links between different groups are looked for in step 4, no group's own pairs are ever
 listed, however large the group is. Every link between different texts lies inside a component.
@@ -30,6 +31,7 @@ from revstrata.llm.components import components
 NEED = 3
 BLOCK = 256
 FILTER_BITS = 24
+BUCKETS = 64
 WORD_STEP = np.uint64(0x9E3779B97F4A7C55)
 CHAIN = np.uint64(0xD6E8FEB86659FD93)
 
@@ -71,11 +73,14 @@ def required(n: int | Column, percent: int) -> int | Column:
     return F.ceil(n * percent / 100.0 - 1e-9).cast("int") if isinstance(n, Column) else -(-n * percent // 100)
 
 
-def frequent_tokens(docs: DataFrame, words: int, sample_rows: int = 10_000, least: int = 3, most: int = 500_000) -> np.ndarray:
-    """Tokens that occur in at least ``least`` of about ``sample_rows`` documents, at most ``most``; only the order uses them."""
+def frequent_tokens(docs: DataFrame, words: int, one_in: int = 5, sample_rows: int = 10_000, least: int = 3, most: int = 500_000) -> np.ndarray:
+    """Tokens of at least ``least`` documents of a sample (one in ``one_in``, but about ``sample_rows`` at least), at most ``most``.
+
+    Only the order uses them. The share of the sample is fixed, so that "frequent" means as many documents at every size.
+    """
     total = docs.count()
     places = 1_000_000
-    share = places if total <= sample_rows else int(places * sample_rows / total) + 1
+    share = places if total <= sample_rows else max(places // one_in, int(places * sample_rows / total) + 1)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
@@ -89,9 +94,9 @@ def frequent_tokens(docs: DataFrame, words: int, sample_rows: int = 10_000, leas
 
 
 def sets_of(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, need: int = NEED) -> DataFrame:
-    """(doc_id, n, class, tokens): set size, the set's digest, and the listed tokens in order.
+    """(doc_id, n, class, tokens, spread): set size, the set's digest, the listed tokens in order, and how many tokens fall in each of BUCKETS.
 
-    Within a task only a class's first row has tokens (the last 100,000 classes are remembered).
+    Within a task only a class's first row has tokens and spread (the last 100,000 classes are remembered).
     """
     held = docs.sparkSession.sparkContext.broadcast(frequent)
     smallest = next(n for n in range(1, 1000) if (n + 1) * percent <= 100 * n)  # smaller sets link with equal ones only
@@ -99,11 +104,11 @@ def sets_of(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, nee
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, often, seen = Shingler(words), held.value, {}
         for batch in batches:
-            sizes, classes, lists = [], [], []
+            sizes, classes, lists, spreads = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle(text)
                 n, d = len(s), digest(s)
-                tokens = None
+                tokens = spread = None
                 if n >= smallest and d not in seen:
                     seen[d] = None
                     if len(seen) > 100_000:
@@ -111,15 +116,17 @@ def sets_of(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, nee
                     at = np.searchsorted(often, s)
                     late = (often[np.minimum(at, len(often) - 1)] == s) if len(often) else np.zeros(n, dtype=bool)
                     tokens = np.concatenate([s[~late], s[late]])[: n - required(n, percent) + need].view(np.int64)
+                    spread = np.bincount((s >> np.uint64(20)).astype(np.int64) % BUCKETS, minlength=BUCKETS).astype(np.int32)
                 sizes.append(n)
                 classes.append(d)
                 lists.append(tokens)
+                spreads.append(spread)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "class", "tokens"],
+                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(spreads, pa.list_(pa.int32()))],
+                names=["doc_id", "n", "class", "tokens", "spread"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, "doc_id long, n int, class long, tokens array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, "doc_id long, n int, class long, tokens array<long>, spread array<int>")
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
@@ -200,18 +207,28 @@ def _needed(percent: int, need: int, *sizes: Column) -> Column:
     return F.least(F.lit(need), *[required(n, percent) for n in sizes])
 
 
+def _could_link(percent: int, x: Column, xn: Column, y: Column, yn: Column) -> Column:
+    """Whether the overlap that two sets' spreads allow, the sum of the lesser counts of each bucket, reaches the threshold."""
+    most = F.aggregate(F.zip_with(x, y, lambda i, j: F.least(i, j)), F.lit(0), lambda t, v: t + v)
+    return most * (100 + percent) >= (xn + yn) * percent
+
+
 def links_and_classes(docs: DataFrame, words: int = 5, percent: int = 80, need: int = NEED) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, class) of every document, and links (a, b) of classes whose components are those of all links."""
     docs = docs.select("doc_id", "text")
     sets = written(sets_of(docs, words, percent, frequent_tokens(docs, words), need), "sets")
     representatives = sets.where(F.col("n") > 0).groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     listed = written(_listed(sets, percent, need), "listed")
+    spreads = sets.where(F.col("spread").isNotNull()).groupBy("class").agg(F.first("spread").alias("spread"))
 
     proposed = (
         listed.where((F.col("leader") != F.col("class")) & (F.col("n") * percent <= F.col("leader_n") * 100) & (F.col("leader_n") * percent <= F.col("n") * 100))
         .groupBy("leader", "class")
         .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("leader_n").alias("leader_n"))
         .where(F.col("shared") >= _needed(percent, need, F.col("n"), F.col("leader_n")))
+        .join(spreads.withColumnRenamed("spread", "own"), "class")
+        .join(spreads.withColumnRenamed("class", "leader"), "leader")
+        .where(_could_link(percent, F.col("own"), F.col("n"), F.col("spread"), F.col("leader_n")))
         .select(F.col("leader").alias("a"), F.col("class").alias("b"))
     )
     stars = _verified(docs, proposed, representatives, words, percent)
@@ -239,10 +256,12 @@ def links_and_classes(docs: DataFrame, words: int = 5, percent: int = 80, need:
 
     x = placed.where(F.col("reach") >= F.col("n")).select("token", F.col("class").alias("a"), F.col("group").alias("small"), F.col("n").alias("an"), F.col("reach").alias("ar"))
     y = placed.select("token", F.col("class").alias("b"), F.col("group").alias("large"), F.col("n").alias("bn"), F.col("reach").alias("br"))
+    x = x.join(qualify, "small").join(spreads.select(F.col("class").alias("a"), F.col("spread").alias("aspread")), "a")
+    y = y.join(qualify.select("large").distinct(), "large").join(spreads.select(F.col("class").alias("b"), F.col("spread").alias("bspread")), "b")
+    fits = (F.col("an") <= F.col("bn")) & (F.col("ar") >= F.col("bn")) & (F.col("br") >= F.col("an")) & (F.col("bn") * percent <= F.col("an") * 100)
     opened = (
-        x.join(qualify, "small")
-        .join(y, ["token", "large"])
-        .where((F.col("an") <= F.col("bn")) & (F.col("ar") >= F.col("bn")) & (F.col("br") >= F.col("an")) & (F.col("bn") * percent <= F.col("an") * 100))
+        x.alias("x")
+        .join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.large") == F.col("y.large")) & fits & _could_link(percent, F.col("aspread"), F.col("an"), F.col("bspread"), F.col("bn")))
         .groupBy("a", "b")
         .agg(F.count("*").alias("shared"), F.first("an").alias("an"), F.first("bn").alias("bn"))
         .where(F.col("shared") >= _needed(percent, need, F.col("an"), F.col("bn")))
