@@ -85,4 +85,26 @@ def manifest_line(line: Column) -> Column:
 
 def bad_label(label: Column) -> Column:
     """Whether a label is reserved, all digits, edged by white space, empty, or holds a colon, NUL or line end."""
-    return label.isin("tip", ".", "null") | label.rlike(r"^[0-9]+$") | label.rlike(r"[:\x00\n\r]") | (F.trim(label) != label) | (label == "")
+    return label.isin("tip", ".", "null") | label.rlike(r"^[0-9]+$") | label.rlike(r"[:\x00\n\r]") | label.rlike(r"^[ \t\n\f\r]|[ \t\n\f\r]$") | (label == "")
+
+
+def metadata_branches(url: Column) -> Column:
+    """Names under which a repository's metadata may be kept, nearest first: the path's ends, growing to host and path, then ``metadata``."""
+    parts = F.concat(F.array(F.regexp_extract(url, "^[a-z]+://(?:[^/@]*@)?([^/:?#]*)", 1)), F.split(F.regexp_extract(url, "^[a-z]+://[^/?#]*([^?#]*)", 1), "/"))
+    found = F.filter(parts, lambda p: p != "")
+    ends = F.transform(F.sequence(F.lit(1), F.size(found)), lambda k: F.array_join(F.slice(found, F.size(found) - k + 1, k), "/"))
+    return F.concat(F.when(F.size(found) > 0, ends).otherwise(F.array().cast("array<string>")), F.array(F.lit("metadata")))
+
+
+def encode_capabilities(names: Column) -> Column:
+    """A map of capability to array of values (NULL: none) as ``name=v1,v2`` lines in order of names."""
+    quoted = lambda x: F.replace(percent_encode(x), F.lit("%2F"), F.lit("/"))
+    line = lambda e: F.concat(quoted(e["key"]), F.coalesce(F.concat(F.lit("="), F.array_join(F.transform(e["value"], quoted), ",")), F.lit("")))
+    return F.array_join(F.transform(F.array_sort(F.map_entries(names)), line), "\n")
+
+
+def decode_capabilities(lines: Column) -> Column:
+    """``name[=v1,v2]`` lines as a map of name to array of values; NULL for names without ``=``."""
+    value = lambda x: F.when(F.contains(x, F.lit("=")), F.transform(F.split(F.substring(x, F.instr(x, "=") + 1, F.length(x)), ","), percent_decode))
+    entry = lambda x: F.struct(percent_decode(F.substring_index(x, "=", 1)).alias("key"), value(x).alias("value"))
+    return F.map_from_entries(F.transform(F.filter(F.split(lines, "\n"), lambda x: x != ""), entry))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,3 +160,86 @@ def linear_walk(links: DataFrame, start: DataFrame) -> DataFrame:
         reached = grown
         there = jumps.select(F.col("id").alias("to"), F.col("to").alias("further"))
         jumps, size = _cut(jumps.join(there, "to").select("id", F.col("further").alias("to"))), size * 2
+
+
+def infer_branches(nodes: DataFrame, edges: DataFrame, pushes: DataFrame) -> DataFrame:
+    """(rev, branch, kind) of ``nodes`` (rev, p1, branch, known): ``known``, ``set`` by a push, or ``inferred``.
+
+    A push (rev, branch, order) names the branch of its node and of all ancestors that are reached through
+    unknown nodes only; of several pushes the first counts. What is left takes the branch of its nearest known
+    first parent, found by doubling; NULL, if there is none.
+    """
+    unknown = _cut(nodes.where(~F.col("known")).select("rev", "p1"))
+    inner = edges.join(unknown.select(F.col("rev").alias("parent")), "parent", "left_semi")
+    labels = _cut(pushes.join(unknown, "rev", "left_semi").groupBy("rev").agg(F.min("order").alias("order")))
+    frontier = labels
+    while not frontier.isEmpty():
+        came = frontier.join(inner, frontier.rev == inner.child).groupBy(F.col("parent").alias("rev")).agg(F.min("order").alias("order"))
+        held = labels.select("rev", F.col("order").alias("held"))
+        frontier = _cut(came.join(held, "rev", "left").where(F.col("held").isNull() | (F.col("order") < F.col("held"))).select("rev", "order"))
+        labels = _cut(labels.unionAll(frontier).groupBy("rev").agg(F.min("order").alias("order")))
+    known = nodes.where("known").select("rev", "branch")
+    jump = unknown.join(known.select(F.col("rev").alias("p1"), F.lit(True).alias("done")), "p1", "left").select(
+        "rev", F.col("p1").alias("at"), (F.col("p1").isNull() | F.coalesce("done", F.lit(False))).alias("done")
+    )
+    jump = _cut(jump)
+    while not jump.where("NOT done").isEmpty():
+        to = jump.select(F.col("rev").alias("at"), F.col("at").alias("next"), F.col("done").alias("next_done"))
+        further = jump.join(to, "at", "left").select(
+            "rev",
+            F.when(F.col("done"), F.col("at")).otherwise(F.col("next")).alias("at"),
+            (F.col("done") | F.coalesce("next_done", F.lit(True))).alias("done"),
+        )
+        jump = _cut(further)
+    inferred = jump.join(known.withColumnRenamed("rev", "at"), "at", "left").select("rev", F.col("branch").alias("near"))
+    named = pushes.groupBy("order").agg(F.first("branch").alias("pushed"))
+    left = inferred.join(labels, "rev", "left").join(named, "order", "left")
+    chosen = left.select(
+        "rev", F.when(F.col("order").isNotNull(), F.col("pushed")).otherwise(F.col("near")).alias("branch"), F.when(F.col("order").isNotNull(), "set").otherwise("inferred").alias("kind")
+    )
+    return known.withColumn("kind", F.lit("known")).unionByName(chosen)
+
+
+def rewrite(nodes: DataFrame, inside: DataFrame, new_id: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """(rev, new_node) for the nodes of ``nodes`` (rev, node, p1, p2, content) that ``inside`` names.
+
+    ``new_id`` makes an identifier of the parents' identifiers (new ones for parents inside) and the content.
+    Levels of the part that is rewritten follow each other; each is one join for either parent.
+    """
+    part = _cut(nodes.join(inside.select("rev"), "rev", "left_semi"))
+    depth = generation(part, edges_of(part))
+    part = _cut(part.join(depth, "rev"))
+    ids = nodes.select("rev", "node")
+    old = {k: ids.select(F.col("rev").alias(k), F.col("node").alias(f"{k}_id")) for k in ("p1", "p2")}
+    part = _cut(part.join(old["p1"], "p1", "left").join(old["p2"], "p2", "left"))
+    levels = part.agg(F.max("depth")).first()[0]
+    done = part.limit(0).select("rev", F.lit("").alias("new_node"))
+    for level in range(0 if levels is None else levels + 1):
+        rows = part.where(F.col("depth") == level)
+        for k in ("p1", "p2"):
+            moved = done.select(F.col("rev").alias(k), F.col("new_node").alias(f"{k}_new"))
+            rows = rows.join(moved, k, "left").withColumn(f"{k}_id", F.coalesce(f"{k}_new", f"{k}_id"))
+        done = done.unionAll(_cut(rows.select("rev", new_id(F.col("p1_id"), F.col("p2_id"), F.col("content")).alias("new_node"))))
+    return done
+
+
+def discover(nodes: DataFrame, edges: DataFrame, remote: DataFrame, sample: int = 100, seed: int = 7) -> DataFrame:
+    """(rev): heads of what ``remote`` knows of ``nodes``, found by asking about samples.
+
+    A known node's ancestors are known, an unknown one's descendants are unknown; each round asks about heads, roots
+    and seeded others of what is open, ``sample`` nodes in all. The result is that of :func:`common_heads`.
+    """
+    open_, known = nodes.select("rev"), nodes.select("rev").limit(0)
+    turn = 0
+    while not open_.isEmpty():
+        order = F.xxhash64("rev", F.lit(seed + turn))
+        tops = heads(open_, edges).select("rev", F.lit(0).alias("kind"))
+        bottoms = roots(open_, edges).select("rev", F.lit(1).alias("kind"))
+        asked = tops.unionAll(bottoms).unionAll(open_.select("rev", F.lit(2).alias("kind"))).groupBy("rev").agg(F.min("kind").alias("kind"))
+        asked = _cut(asked.orderBy("kind", order).limit(sample).select("rev"))
+        yes = ancestors(open_, edges, asked.join(remote, "rev", "left_semi"))
+        no = descendants(open_, edges, asked.join(remote, "rev", "left_anti"))
+        known = _cut(known.unionAll(yes))
+        open_ = _cut(open_.join(yes, "rev", "left_anti").join(no, "rev", "left_anti"))
+        turn += 1
+    return heads(known, edges)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revstrata.functions.identity import NULL_ID
 from revstrata.operators import dag
 
 
@@ -50,3 +51,32 @@ def compare_and_set(refs: DataFrame, updates: DataFrame) -> DataFrame:
     ok = F.col("old").eqNullSafe(F.col("oid"))
     checked = held.select("name", F.when(ok, F.col("new")).otherwise(F.raise_error(F.concat(F.lit("lost race on "), "name"))).alias("oid"))
     return refs.join(updates.select("name"), "name", "left_anti").unionByName(checked.where(F.col("oid").isNotNull()))
+
+
+def heads_digest(heads: DataFrame, keys: list[str], node: str = "node") -> DataFrame:
+    """(keys, digest): sha1 of each group's distinct heads in order, by which a push tells whether others came first."""
+    found = heads.groupBy(*keys).agg(F.array_sort(F.collect_set(node)).alias("_nodes"))
+    return found.select(*keys, F.sha1(F.unhex(F.array_join("_nodes", ""))).alias("digest"))
+
+
+#: Fields of a format for tag lists.
+TAG_FIELDS = {"%(tagname)": "tag", "%(objectname)": "git", "%(hg::objectname)": "node"}
+
+
+def tag_list(tags: DataFrame, mapping: DataFrame, form: str = "%(tagname)") -> DataFrame:
+    """(tag, line) of live tags (tag, node) in a format of fields between single spaces; zeroes stand for unmapped identifiers."""
+    items = form.split(" ")
+    if not set(items) <= set(TAG_FIELDS):
+        raise ValueError(f"invalid format: {form}")
+    found = tags.where(F.col("node") != "").join(mapping.select(F.col("hg").alias("node"), "git"), "node", "left")
+    found = found.withColumn("git", F.coalesce("git", F.lit(NULL_ID)))
+    return found.select("tag", F.concat_ws(" ", *[F.col(TAG_FIELDS[i]) for i in items]).alias("line"))
+
+
+def retained(pushed: DataFrame, drafts: DataFrame, policy: str) -> DataFrame:
+    """Pushed changesets (rev) whose metadata is kept: ``never`` none, ``always`` or ``force`` all, ``phase`` those that are no drafts."""
+    if policy not in ("never", "phase", "always", "force"):
+        raise ValueError(f"no such policy: {policy}")
+    if policy == "phase":
+        return pushed.join(drafts.select("rev"), "rev", "left_anti")
+    return pushed.limit(0) if policy == "never" else pushed

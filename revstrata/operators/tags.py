@@ -43,3 +43,20 @@ def live(tags: DataFrame) -> DataFrame:
 def first_files(head_files: DataFrame) -> DataFrame:
     """(rank, blob): each distinct file of (rank, blob) once, where the first head has it."""
     return head_files.groupBy("blob").agg(F.min("rank").alias("rank")).select("rank", "blob")
+
+
+def tag_lines_for(current: DataFrame, updates: DataFrame) -> DataFrame:
+    """(tag, line, node) to append to a tag file for updates (tag, node): what the tag was, if it was, then what it is.
+
+    An empty node deletes the tag. Updates that change nothing, and deletions of what is not there, add no lines.
+    """
+    met = updates.select("tag", F.col("node").alias("new")).join(current.select("tag", F.col("node").alias("old")), "tag", "left")
+    moved = met.withColumn("old", F.coalesce("old", F.lit(""))).where(F.col("old") != F.col("new"))
+    lines = F.filter(F.array(F.struct(F.lit(0).alias("line"), F.col("old").alias("node")), F.struct(F.lit(1).alias("line"), F.col("new").alias("node"))), lambda x: (x["line"] == 1) | (x["node"] != ""))
+    return moved.select("tag", F.explode(lines).alias("l")).select("tag", "l.line", "l.node")
+
+
+def same_tags(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two tag tables have the same live tags."""
+    x, y = live(a).select("tag", "node"), live(b).select("tag", "node")
+    return x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()

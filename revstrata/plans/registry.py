@@ -9,26 +9,12 @@ from pyspark.sql import functions as F
 
 from revstrata.functions import authorship, identity, text
 from revstrata.operators import dag, delta, integrity, mapping, paths, refs, snapshots, tags
-from revstrata.plans import views
+from revstrata.plans import authoring, views  # noqa: F401  authoring registers its queries
+from revstrata.plans.catalog import QUERIES, SQL, query
 from revstrata.plans.views import DAG_SQL, ENTRIES_SQL, MAPPING_SQL, TAGS_SQL
 from revstrata.sources import bundle
 from revstrata.tables import load
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable:
-    """Registers a query under its function's name, with its SQL if it has any."""
-
-    def of(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return of
-
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
@@ -66,13 +52,13 @@ def topo_heads(spark, d):
     return dag.topological_heads(n.select("rev", "branch"), e).select("rev", "branch")
 
 
-ANC = f"WITH RECURSIVE {DAG_SQL}, a AS (SELECT rev FROM nodes WHERE rev % 997 = 5 UNION SELECT e.parent FROM a JOIN edges e ON e.child = a.rev)"
+ANC = f"WITH RECURSIVE {DAG_SQL}, a AS (SELECT rev FROM nodes WHERE closed UNION SELECT e.parent FROM a JOIN edges e ON e.child = a.rev)"
 
 
 @query(f"{ANC} SELECT rev FROM a")
 def ancestors(spark, d):
     n, e = views.graph(spark, d)
-    return dag.ancestors(n, e, n.where("rev % 997 = 5"))
+    return dag.ancestors(n, e, n.where("closed"))
 
 
 @query(f"WITH RECURSIVE {DAG_SQL}, a AS (SELECT rev FROM nodes WHERE rev IN (20, 57) UNION SELECT e.child FROM a JOIN edges e ON e.parent = a.rev) SELECT rev FROM a")
@@ -81,29 +67,29 @@ def descendants(spark, d):
     return dag.descendants(n, e, n.where(F.col("rev").isin(20, 57)))
 
 
-RANGE = f"""{ANC}, b AS (SELECT rev FROM nodes WHERE rev % 499 = 7 UNION SELECT e.parent FROM b JOIN edges e ON e.child = b.rev),
+RANGE = f"""{ANC}, b AS (SELECT rev FROM nodes WHERE branch = '1-URGENT' UNION SELECT e.parent FROM b JOIN edges e ON e.child = b.rev),
   r AS (SELECT rev FROM a WHERE rev NOT IN (SELECT rev FROM b))"""
 
 
 @query(f"{RANGE} SELECT rev FROM r")
 def rev_range(spark, d):
     n, e = views.graph(spark, d)
-    return dag.rev_range(n, e, n.where("rev % 997 = 5"), n.where("rev % 499 = 7"))
+    return dag.rev_range(n, e, n.where("closed"), n.where("branch = '1-URGENT'"))
 
 
 @query(f"{RANGE} SELECT DISTINCT parent AS rev FROM edges WHERE child IN (SELECT rev FROM r) AND parent NOT IN (SELECT rev FROM r)")
 def range_boundary(spark, d):
     n, e = views.graph(spark, d)
-    return dag.boundary(e, dag.rev_range(n, e, n.where("rev % 997 = 5"), n.where("rev % 499 = 7")))
+    return dag.boundary(e, dag.rev_range(n, e, n.where("closed"), n.where("branch = '1-URGENT'")))
 
 
-@query(f"""WITH RECURSIVE {DAG_SQL}, x AS (SELECT rev FROM nodes WHERE rev % 997 = 5 UNION SELECT e.parent FROM x JOIN edges e ON e.child = x.rev),
+@query(f"""WITH RECURSIVE {DAG_SQL}, x AS (SELECT rev FROM nodes WHERE closed UNION SELECT e.parent FROM x JOIN edges e ON e.child = x.rev),
   b AS (SELECT rev FROM nodes WHERE rev = 2 UNION SELECT e.parent FROM b JOIN edges e ON e.child = b.rev),
   c AS (SELECT rev FROM nodes WHERE rev = 2 UNION SELECT e.child FROM c JOIN edges e ON e.parent = c.rev)
   SELECT rev FROM x WHERE rev NOT IN (SELECT rev FROM b) AND rev IN (SELECT rev FROM c)""")
 def ancestry_path(spark, d):
     n, e = views.graph(spark, d)
-    return dag.ancestry_path(n, e, n.where("rev % 997 = 5"), n.where("rev = 2"))
+    return dag.ancestry_path(n, e, n.where("closed"), n.where("rev = 2"))
 
 
 @query(f"""WITH RECURSIVE {DAG_SQL}, w AS (SELECT rev, 0 AS depth FROM nodes WHERE rev NOT IN (SELECT child FROM edges)
@@ -113,25 +99,25 @@ def generation(spark, d):
     return dag.generation(n, e)
 
 
-@query(f"""WITH RECURSIVE {DAG_SQL}, pairs AS (SELECT rev // 9 AS a, rev AS b FROM nodes WHERE rev % 101 = 0),
+@query(f"""WITH RECURSIVE {DAG_SQL}, pairs AS (SELECT rev // 9 AS a, rev AS b FROM nodes),
   s AS (SELECT b, b AS rev FROM pairs UNION SELECT s.b, e.parent FROM s JOIN edges e ON e.child = s.rev)
   SELECT a, b, EXISTS (SELECT 1 FROM s WHERE s.b = pairs.b AND s.rev = pairs.a) AS is_ancestor FROM pairs""")
 def is_ancestor(spark, d):
     n, e = views.graph(spark, d)
-    return dag.is_ancestor(n, e, n.where("rev % 101 = 0").select(F.expr("rev div 9").alias("a"), F.col("rev").alias("b")))
+    return dag.is_ancestor(n, e, n.select(F.expr("rev div 9").alias("a"), F.col("rev").alias("b")))
 
 
-@query(f"{ANC} SELECT rev FROM a WHERE rev % 3 = 0")
+@query(f"{ANC} SELECT rev FROM a WHERE rev IN (SELECT rev FROM nodes WHERE branch = '1-URGENT')")
 def reachable_subset(spark, d):
     n, e = views.graph(spark, d)
-    return dag.reachable(n, e, n.where("rev % 3 = 0").select("rev"), n.where("rev % 997 = 5"))
+    return dag.reachable(n, e, n.where("branch = '1-URGENT'").select("rev"), n.where("closed"))
 
 
-@query(f"""{ANC}, b AS (SELECT rev FROM nodes WHERE rev % 499 = 7 UNION SELECT e.parent FROM b JOIN edges e ON e.child = b.rev),
+@query(f"""{ANC}, b AS (SELECT rev FROM nodes WHERE branch = '1-URGENT' UNION SELECT e.parent FROM b JOIN edges e ON e.child = b.rev),
   k AS (SELECT rev FROM a WHERE rev IN (SELECT rev FROM b)) SELECT rev FROM k WHERE rev NOT IN (SELECT parent FROM edges WHERE child IN (SELECT rev FROM k))""")
 def common_set(spark, d):
     n, e = views.graph(spark, d)
-    return dag.common_heads(n, e, n.where("rev % 997 = 5"), n.where("rev % 499 = 7"))
+    return dag.common_heads(n, e, n.where("closed"), n.where("branch = '1-URGENT'"))
 
 
 @query(f"""WITH RECURSIVE {DAG_SQL}, a AS (SELECT rev FROM nodes WHERE rev = 5 UNION SELECT e.child FROM a JOIN edges e ON e.parent = a.rev)
@@ -285,9 +271,9 @@ def overlay_get(spark, d):
     return mapping.overlay(base, changes, "k", "v")
 
 
-@query(f"WITH {MAPPING_SQL} SELECT hg FROM mapping WHERE hg NOT IN (SELECT sha1('h' || o_custkey) FROM orders WHERE o_orderkey % 9 = 0) AND hg NOT IN (SELECT sha1('h' || s_suppkey) FROM supplier)")
+@query(f"WITH {MAPPING_SQL} SELECT hg FROM mapping WHERE hg NOT IN (SELECT sha1('h' || o_custkey) FROM orders WHERE o_orderpriority = '1-URGENT') AND hg NOT IN (SELECT sha1('h' || s_suppkey) FROM supplier)")
 def dangling_keys(spark, d):
-    o = load(spark, d, "orders").where("o_orderkey % 9 = 0").select(F.sha1(F.concat(F.lit("h"), F.col("o_custkey").cast("string"))).alias("hg"))
+    o = load(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.sha1(F.concat(F.lit("h"), F.col("o_custkey").cast("string"))).alias("hg"))
     s = load(spark, d, "supplier").select(F.sha1(F.concat(F.lit("h"), F.col("s_suppkey").cast("string"))).alias("hg"))
     return mapping.dangling(views.mapping(spark, d), [o, s], "hg")
 
