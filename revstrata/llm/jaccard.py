@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revstrata.llm.common import mix64, ship, written
+from revstrata.llm.common import mix64, release, ship, written
 from revstrata.llm.components import components
 
 NEED = 3
 BLOCK = 256
+BLOCK_TOKENS = 2_000_000
+SLICE = 500
 FILTER_BITS = 24
 BUCKETS = 64
 WORD_STEP = np.uint64(0x9E3779B97F4A7C55)
@@ -103,7 +105,7 @@ def sets_of(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, nee
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, often, seen = Shingler(words), held.value, {}
-        for batch in batches:
+        for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
             sizes, classes, lists, spreads = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle(text)
@@ -162,10 +164,11 @@ def _sets_for(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 def _verified(docs: DataFrame, pairs: DataFrame, representatives: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link, checked on whole sets.
 
-    The pairs of one class a are cut into blocks of about BLOCK, each with a copy of a's set.
+    The pairs of one class a are cut into blocks of about BLOCK, or of about BLOCK_TOKENS tokens, each with a copy of a's set.
     """
     pairs = written(pairs, "pairs")
-    blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = pairs.join(representatives.select(F.col("class").alias("b"), "n"), "b")
+    blocks = sizes.groupBy("a").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"))
     dealt = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b")
     rows = dealt.select("a", "block", F.col("b").alias("class")).unionAll(dealt.select("a", "block", F.col("a").alias("class")).distinct())
     ids = rows.select("class").distinct().join(representatives, "class")
@@ -213,12 +216,40 @@ def _could_link(percent: int, x: Column, xn: Column, y: Column, yn: Column) -> C
     return most * (100 + percent) >= (xn + yn) * percent
 
 
+def _opened(placed: DataFrame, qualify: DataFrame, spreads: DataFrame, percent: int, need: int) -> DataFrame:
+    """The pairs (a, b) of classes that could link, with a of the smaller set, in the pairs of groups (small, large) that qualify.
+
+    Of a pair of groups the one with fewer listed tokens is copied for the other, so that a group with many partners stays
+    where it is and is met by its partners' rows.
+    """
+    rows = placed.groupBy("group").agg(F.count("*").alias("rows"))
+    sized = qualify.join(rows.select(F.col("group").alias("small"), F.col("rows").alias("small_rows")), "small")
+    sized = sized.join(rows.select(F.col("group").alias("large"), F.col("rows").alias("large_rows")), "large")
+    turned = F.col("large_rows") < F.col("small_rows")
+    pairs = sized.select(F.when(turned, F.col("large")).otherwise(F.col("small")).alias("mover"), F.when(turned, F.col("small")).otherwise(F.col("large")).alias("group"), turned.alias("turned"))
+    whole = placed.join(spreads, "class")
+    p = placed.withColumnRenamed("group", "mover").join(pairs, "mover").join(spreads, "class")
+    p = p.select("token", "group", "turned", F.col("class").alias("pc"), F.col("n").alias("pn"), F.col("reach").alias("pr"), F.col("spread").alias("ps"))
+    q = whole.join(pairs.select("group").distinct(), "group", "left_semi").select(
+        "token", "group", F.col("class").alias("qc"), F.col("n").alias("qn"), F.col("reach").alias("qr"), F.col("spread").alias("qs")
+    )
+    side = lambda x, y: F.when(F.col("turned"), F.col(y)).otherwise(F.col(x))
+    an, ar, bn, br = side("pn", "qn"), side("pr", "qr"), side("qn", "pn"), side("qr", "pr")
+    fits = (an <= bn) & (ar >= bn) & (br >= an) & (bn * percent <= an * 100)
+    same = (F.col("p.token") == F.col("q.token")) & (F.col("p.group") == F.col("q.group"))
+    met = p.alias("p").join(q.alias("q"), same & fits & _could_link(percent, F.col("ps"), F.col("pn"), F.col("qs"), F.col("qn")))
+    found = met.select(side("pc", "qc").alias("a"), side("qc", "pc").alias("b"), an.alias("an"), bn.alias("bn"))
+    counts = found.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("an").alias("an"), F.first("bn").alias("bn"))
+    return counts.where(F.col("shared") >= _needed(percent, need, F.col("an"), F.col("bn"))).select("a", "b")
+
+
 def links_and_classes(docs: DataFrame, words: int = 5, percent: int = 80, need: int = NEED) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, class) of every document, and links (a, b) of classes whose components are those of all links."""
     docs = docs.select("doc_id", "text")
     sets = written(sets_of(docs, words, percent, frequent_tokens(docs, words), need), "sets")
-    representatives = sets.where(F.col("n") > 0).groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    representatives = sets.where(F.col("n") > 0).groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     listed = written(_listed(sets, percent, need), "listed")
+    release(docs.sparkSession)
     spreads = sets.where(F.col("spread").isNotNull()).groupBy("class").agg(F.first("spread").alias("spread"))
 
     proposed = (
@@ -233,6 +264,7 @@ def links_and_classes(docs: DataFrame, words: int = 5, percent: int = 80, need:
     )
     stars = _verified(docs, proposed, representatives, words, percent)
     groups = components(stars)
+    release(docs.sparkSession)
 
     placed = written(
         listed.drop("leader", "leader_n").join(groups.select(F.col("node").alias("class"), F.col("component").alias("group")), "class", "left").withColumn(
@@ -253,21 +285,9 @@ def links_and_classes(docs: DataFrame, words: int = 5, percent: int = 80, need:
     ).select(F.col("s.token").alias("token"), F.col("s.group").alias("small"), F.col("w.group").alias("large"), F.least("s.low", "w.low").alias("low"))
     qualify = overlap.groupBy("small", "large").agg(F.count("*").alias("shared"), F.min("low").alias("low")).where(F.col("shared") >= _needed(percent, need, F.col("low")))
     qualify = written(qualify.select("small", "large"), "qualifying")
+    release(docs.sparkSession)
 
-    x = placed.where(F.col("reach") >= F.col("n")).select("token", F.col("class").alias("a"), F.col("group").alias("small"), F.col("n").alias("an"), F.col("reach").alias("ar"))
-    y = placed.select("token", F.col("class").alias("b"), F.col("group").alias("large"), F.col("n").alias("bn"), F.col("reach").alias("br"))
-    x = x.join(qualify, "small").join(spreads.select(F.col("class").alias("a"), F.col("spread").alias("aspread")), "a")
-    y = y.join(qualify.select("large").distinct(), "large").join(spreads.select(F.col("class").alias("b"), F.col("spread").alias("bspread")), "b")
-    fits = (F.col("an") <= F.col("bn")) & (F.col("ar") >= F.col("bn")) & (F.col("br") >= F.col("an")) & (F.col("bn") * percent <= F.col("an") * 100)
-    opened = (
-        x.alias("x")
-        .join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.large") == F.col("y.large")) & fits & _could_link(percent, F.col("aspread"), F.col("an"), F.col("bspread"), F.col("bn")))
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("shared"), F.first("an").alias("an"), F.first("bn").alias("bn"))
-        .where(F.col("shared") >= _needed(percent, need, F.col("an"), F.col("bn")))
-        .select("a", "b")
-    )
-    across = _verified(docs, opened, representatives, words, percent)
+    across = _verified(docs, _opened(placed, qualify, spreads, percent, need), representatives, words, percent)
     return sets.select("doc_id", "n", "class"), stars.unionAll(across)
 
 
