@@ -20,7 +20,7 @@ from revstrata.llm.common import release, ship, written
 
 DEGREE, PIVOTS, NEAR, BLOCK = 30, 1024, 6, 400
 FRESH, OLD, PROPOSE = 15, 12, 8
-WIDTH, STEP_NODES, ENTRIES = 96, 16, 3
+WIDTH, STEP_NODES, ENTRIES = 96, 32, 3
 
 
 def _matrix(column: pd.Series, kind: str) -> np.ndarray:
@@ -184,18 +184,21 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: str, pi
 
     entry = queries.select("query_id", "vec").mapInPandas(enter, "query_id long, node long").unionAll(queries.where(F.col("node").isNotNull()).select("query_id", "node"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "node")
-    state = written(scored(entry.distinct()), "walk")
+    turn = F.sum((~F.col("seen")).cast("int")).over(best.rowsBetween(Window.unboundedPreceding, 0))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        """A query's best nodes, and which of them the next step goes from: one sort a step."""
+        kept = rows.withColumn("_r", F.row_number().over(best)).withColumn("_turn", turn).where(F.col("_r") <= 4 * width)
+        return written(kept.withColumn("_go", ~F.col("seen") & (F.col("_r") <= width) & (F.col("_turn") <= STEP_NODES)).drop("_turn"), "walk")
+
+    state = ranked(scored(entry.distinct()))
     for _ in range(steps):
-        ranked = state.withColumn("_r", F.row_number().over(best))
-        turn = F.sum((~F.col("seen")).cast("int")).over(best.rowsBetween(Window.unboundedPreceding, 0))
-        marked = written(ranked.withColumn("_go", ~F.col("seen") & (F.col("_r") <= width) & (turn <= STEP_NODES)), "marked")
-        going = marked.where("_go").select("query_id", "node")
+        going = state.where("_go").select("query_id", "node")
         if going.isEmpty():
             break
-        new = going.join(near, going.node == near.u).select("query_id", F.explode("near").alias("node")).distinct().join(marked, ["query_id", "node"], "left_anti")
-        now = marked.select("query_id", "node", "score", (F.col("seen") | F.col("_go")).alias("seen")).unionByName(scored(new))
-        state = written(now.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= 4 * width).drop("_r"), "walk")
-    return state.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= width).select("query_id", "node", "score")
+        new = going.join(near, going.node == near.u).select("query_id", F.explode("near").alias("node")).distinct().join(state, ["query_id", "node"], "left_anti")
+        state = ranked(state.select("query_id", "node", "score", (F.col("seen") | F.col("_go")).alias("seen")).unionByName(scored(new)))
+    return state.where(F.col("_r") <= width).select("query_id", "node", "score")
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, **how) -> DataFrame:
