@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Keys of a note's lines, in the order in which they are written.
+#: The keys of a note's lines, in the order in which they are written.
 NOTE_KEYS = ("changeset", "manifest", "author", "extra", "files", "patch")
 
 

@@ -59,7 +59,7 @@ def heads_digest(heads: DataFrame, keys: list[str], node: str = "node") -> DataF
     return found.select(*keys, F.sha1(F.unhex(F.array_join("_nodes", ""))).alias("digest"))
 
 
-#: Fields of a format for tag lists.
+#: Fields of a format for tag lists.
 TAG_FIELDS = {"%(tagname)": "tag", "%(objectname)": "git", "%(hg::objectname)": "node"}
 
 
