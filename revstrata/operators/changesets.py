@@ -51,7 +51,7 @@ def spread_conflicts(commits: DataFrame, text: str = "text", order: str = "rev",
     """
     stem = F.regexp_replace(text, f"{filler}+$", "") if filler == "\n" else F.rtrim(F.col(text), F.lit(filler))
     rows = commits.withColumn("_stem", stem).withColumn("_own", F.length(text) - F.length("_stem"))
-    here = Window.partitionBy("_stem").orderBy("_own", order)
+    here = Window.partitionBy("_stem", F.when(F.col("_stem").isNull(), F.col(order))).orderBy("_own", order)
     number = F.row_number().over(here)
     placed = rows.withColumn("_n", number).withColumn("_slot", F.col("_n") + F.max(F.col("_own") - F.col("_n")).over(here))
     spread = F.when(F.col(text).isNotNull(), F.concat("_stem", F.repeat(F.lit(filler), F.col("_slot").cast("int"))))
@@ -81,7 +81,8 @@ def graft(changesets: DataFrame, commits: DataFrame, strict: bool = False) -> Da
     found = met.withColumn("_level", level)
     of = lambda what: F.coalesce(*[F.when(F.col("_level") == k, F.col(f"{k}_{what}")) for k in levels])
     found = found.withColumn("_commit", F.when(of("n") == 1, of("one")).when(of("n2") == 1, of("one2")))
-    first = F.row_number().over(Window.partitionBy("_commit").orderBy("rev"))
+    apart = F.when(F.col("_commit").isNull(), F.col("rev"))  # unmatched changesets do not meet in one task
+    first = F.row_number().over(Window.partitionBy("_commit", apart).orderBy("rev"))
     return found.withColumn("_first", F.when(F.col("_commit").isNotNull(), first)).select(
         "rev", F.when(F.col("_first") == 1, F.col("_commit")).alias("commit"), F.coalesce(of("n"), F.lit(0)).cast("long").alias("candidates")
     )
