@@ -110,10 +110,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     A null text and one without a letter have ``und`` and 0.0, as has every text under a model without
     languages. Equal texts have equal results; the model is the same for any number of rows.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast((model.langs, model.weights, model.idf, model.temperature))
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m, letters = held.value, Letters()
+        m, letters = Model(*held.value), Letters()
         for batch in batches:
             out = []
             for text in batch:

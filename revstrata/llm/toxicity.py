@@ -113,10 +113,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, rounds: int
 
 def predict(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score and predicted (columns of these names are replaced), from the column ``text`` alone; a null text is scored as an empty one."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast((model.weights, model.temperature, model.shift))
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m, letters = held.value, Letters()
+        m, letters = Model(*held.value), Letters()
         w, bias = m.weights[0, :-1], m.weights[0, -1]
         for batch in batches:
             logit = np.array([w[word_features(letters(t or ""), PREFIXES, BITS)].sum() for t in batch], dtype=np.float64) + bias
