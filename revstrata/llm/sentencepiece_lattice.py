@@ -15,21 +15,24 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstrata.llm.common import ship, written
+from revstrata.llm.common import ship, small_batches, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
 DICTIONARY = 200_000
 LONGEST = 48
+HELD_UNITS = 100_000
+SLICE = 1000
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,11 @@ class Pieces:
     byte0: int
     length: int
 
+    @cached_property
+    def order(self) -> dict[str, float]:
+        """Each piece's rank alone."""
+        return {t: r for t, (r, _) in self.ranks.items()}
+
 
 def load_pieces(path: str = MODEL) -> Pieces:
     import sentencepiece
@@ -98,28 +106,67 @@ def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
     return folded.select("unit", ids.alias("ids"))
 
 
+def best_paths(units: DataFrame, scores: DataFrame, length: int, unknown: float = -20.0) -> DataFrame:
+    """(unit, pieces, score) by Viterbi, for unigram models: the path of the highest sum of scores through each unit's lattice.
+
+    ``scores`` is the piece table (piece, score), of pieces of at most ``length`` characters. A character without a piece of
+    its own is an edge with the score ``unknown``. Of equal paths the one whose last piece is longer wins. An empty unit
+    has no pieces; repeated units are one row.
+    """
+    named = units.select("unit", F.length("unit").alias("n")).distinct()
+    starts = named.where("n > 0").select("unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
+    spans = starts.select("unit", "n", "s", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("n"), F.col("s") + length))).alias("e"))
+    edges = spans.withColumn("piece", F.substring(F.col("unit"), F.col("s") + 1, F.col("e") - F.col("s"))).join(scores.select("piece", F.col("score").cast("double").alias("score")), "piece", "left")
+    held = edges.where(F.col("score").isNotNull() | (F.col("e") == F.col("s") + 1)).withColumn("score", F.coalesce("score", F.lit(unknown)))
+    words = held.groupBy("unit", "n").agg(F.collect_list(F.struct("s", "e", "score")).alias("edges"))
+
+    def further(best: Column, e: Column) -> Column:
+        into = F.transform(F.filter("edges", lambda x: x["e"] == e), lambda x: F.struct((F.get(best, x["s"])["score"] + x["score"]).alias("score"), (-x["s"]).alias("back")))
+        return F.concat(best, F.array(F.array_max(into)))
+
+    root = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back")))
+    folded = words.withColumn("best", F.aggregate(F.sequence(F.lit(1), F.col("n")), root, further))
+
+    def back(cuts: Column, _: Column) -> Column:
+        first = F.get(cuts, F.lit(0))
+        return F.when(first > 0, F.concat(F.array(-F.get(F.col("best"), first)["back"]), cuts)).otherwise(cuts)
+
+    cuts = F.aggregate(F.sequence(F.lit(1), F.col("n")), F.array(F.col("n")), back)
+    found = folded.withColumn("cuts", cuts)
+    pieces = F.transform(F.sequence(F.lit(1), F.size("cuts") - 1), lambda k: F.substring(F.col("unit"), F.element_at("cuts", k) + 1, F.element_at("cuts", k + 1) - F.element_at("cuts", k)))
+    paths = found.select("unit", pieces.alias("pieces"), F.element_at("best", -1)["score"].alias("score"))
+    return paths.unionByName(named.where("n = 0").select("unit", F.array().cast("array<string>").alias("pieces"), F.lit(0.0).alias("score")))
+
+
 def fold_unit(unit: str, pieces: Pieces) -> list[int]:
     """The same fold for one unit in a task: over a list for short units, else with a heap, in n log n of the unit's length."""
     if len(unit) > LONGEST:
         return _fold_long(unit, pieces)
-    ranks, never = pieces.ranks, (float("inf"), 0)
+    rank, never = pieces.order.get, float("inf")
     parts = list(unit)
-    scores = [ranks.get(a + b, never)[0] for a, b in zip(parts, parts[1:], strict=False)]
+    scores = [rank(a + b, never) for a, b in zip(parts, parts[1:], strict=False)]
     while scores:
         best = min(scores)
-        if best == never[0]:
+        if best == never:
             break
         i = scores.index(best)
-        parts[i] += parts.pop(i + 1)
+        both = parts[i] + parts.pop(i + 1)
+        parts[i] = both
         del scores[i]
         if i < len(scores):
-            scores[i] = ranks.get(parts[i] + parts[i + 1], never)[0]
+            scores[i] = rank(both + parts[i + 1], never)
         if i:
-            scores[i - 1] = ranks.get(parts[i - 1] + parts[i], never)[0]
+            scores[i - 1] = rank(parts[i - 1] + both, never)
+    return _ids_of(parts, pieces)
+
+
+def _ids_of(parts: Iterable[str], pieces: Pieces) -> list[int]:
+    """The identifiers of pieces; characters without one become byte pieces."""
     out: list[int] = []
     for part in parts:
-        if part in ranks:
-            out.append(ranks[part][1])
+        found = pieces.ranks.get(part)
+        if found is not None:
+            out.append(found[1])
         else:
             out.extend(pieces.byte0 + b for b in part.encode("utf-8", "surrogatepass"))
     return out
@@ -150,26 +197,21 @@ def _fold_long(unit: str, pieces: Pieces) -> list[int]:
             text = unit[left[i] : j]
             if text in ranks:
                 heapq.heappush(heap, (ranks[text][0], left[i], j))
-    out: list[int] = []
-    i = 0
+    parts, i = [], 0
     while i < n:
-        text = unit[i : end[i]]
-        if text in ranks:
-            out.append(ranks[text][1])
-        else:
-            out.extend(pieces.byte0 + b for b in text.encode("utf-8", "surrogatepass"))
+        parts.append(unit[i : end[i]])
         i = right[i]
-    return out
+    return _ids_of(parts, pieces)
 
 
-def dictionary(docs: DataFrame, pieces: Pieces, size: int = DICTIONARY, longest: int = LONGEST) -> dict[str, list[int]]:
-    """Identifiers of the ``size`` most frequent units of at most ``longest`` characters, counted over all texts."""
+def dictionary(docs: DataFrame, pieces: Pieces, size: int = DICTIONARY, longest: int = LONGEST) -> dict[str, bytes]:
+    """Identifiers, as bytes of int32, of the ``size`` most frequent units of at most ``longest`` characters, counted over all texts."""
     units = docs.select(F.explode(F.regexp_extract_all(marked(F.coalesce("text", F.lit(""))), F.lit(f"({MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+)"))).alias("unit"))
     counts = units.where(F.length("unit") <= longest).groupBy("unit").count().where("count > 1")
     frequent = written(counts.orderBy(F.desc("count"), "unit").limit(size).select("unit"), "units")
     per = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = written(lattice(frequent.repartition(per, "unit"), pieces), "unit-pieces")
-    return {r["unit"]: r["ids"] for r in known.toLocalIterator()}
+    return {r["unit"]: np.array(r["ids"], dtype=np.int32).tobytes() for r in known.toLocalIterator()}
 
 
 def encode(docs: DataFrame, model: str = MODEL, size: int = DICTIONARY) -> DataFrame:
@@ -180,31 +222,34 @@ def encode(docs: DataFrame, model: str = MODEL, size: int = DICTIONARY) -> DataF
     """
     spark: SparkSession = docs.sparkSession
     pieces = load_pieces(model)
-    held = spark.sparkContext.broadcast((pieces, {u: np.array(i, dtype=np.int32) for u, i in dictionary(docs, pieces, size).items()}))
+    known, raw = dictionary(docs, pieces, size), raw_pieces(pieces)
+    plain = (pieces.texts, pieces.ranks, pieces.byte0, pieces.length)
+    held = spark.sparkContext.broadcast((plain, known, {u for u, ids in known.items() if not _decodes(u, ids, raw)}))
+    small_batches(spark)
 
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces, known = held.value
+        parts, known, lossy = held.value
+        pieces, lossy = Pieces(*parts), set(lossy)
         raw = raw_pieces(pieces)
-        rare: dict[str, np.ndarray] = {}
-        for batch in batches:
+        met: dict[str, bytes] = {}  # rare units met so far
+
+        def learn(unit: str) -> bytes:
+            if len(met) >= HELD_UNITS:
+                met.clear()
+            ids = met[unit] = np.array(fold_unit(unit, pieces), dtype=np.int32).tobytes()
+            if not _decodes(unit, ids, raw):
+                lossy.add(unit)
+            return ids
+
+        for batch in (b.slice(k, SLICE) for b in batches for k in range(0, len(b), SLICE)):
             ids, lossless = [], []
             for text in batch.to_pylist():
-                parts = []
-                for unit in UNIT.findall(MARK + text.replace(" ", MARK)) if text else ():
-                    got = known.get(unit)
-                    if got is None:
-                        got = rare.get(unit)
-                        if got is None:
-                            got = np.array(fold_unit(unit, pieces), dtype=np.int32)
-                            if len(rare) >= 100_000:
-                                rare.clear()
-                            rare[unit] = got
-                    parts.append(got)
-                found = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
-                ids.append(found)
-                lossless.append(joined(found, raw) == (text or ""))
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            values = pa.array(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32))
+                units = UNIT.findall(MARK + text.replace(" ", MARK)) if text else ()
+                found = [known.get(u) or met.get(u) or learn(u) for u in units]
+                ids.append(b"".join(found))
+                lossless.append(not text or (MARK not in text and (not lossy or lossy.isdisjoint(units))))
+            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
             yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(lossless, pa.bool_())], names=["ids", "lossless"])
 
     coded = docs.withColumn("_coded", F.arrow_udf(of, "ids array<int>, lossless boolean")("text"))
@@ -219,6 +264,11 @@ def raw_pieces(pieces: Pieces) -> list[bytes]:
     return out
 
 
+def _decodes(unit: str, ids: bytes, raw: list[bytes]) -> bool:
+    """Whether a unit's identifiers decode to the unit."""
+    return b"".join([raw[k] for k in np.frombuffer(ids, dtype=np.int32).tolist()]) == unit.replace(MARK, " ").encode("utf-8", "surrogatepass")
+
+
 def joined(ids: np.ndarray, raw: list[bytes]) -> str:
     """The text of identifiers, less the leading space that encoding put there."""
     text = b"".join([raw[k] for k in ids.tolist()]).decode("utf-8", "replace")

@@ -28,3 +28,24 @@ def test_documents(odd, none):
         for r in got:
             assert list(r.ids) == LIB.encode(r.text or "") and r.lossless and r.decoded == (r.text or "") and r.n_pieces == len(r.ids) and r.score == "mine"
     assert L.encode(none).isEmpty()
+
+
+def test_viterbi_against_a_loop(spark):
+    rnd = random.Random(2)
+    table = {"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 4))): -rnd.randint(1, 64) / 8 for _ in range(30)}
+    units = ["", *{"".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 14))) for _ in range(40)}]
+
+    def best(unit):
+        state = [(0.0, [])]
+        for e in range(1, len(unit) + 1):
+            ways = []
+            for b in range(max(0, e - 4), e):
+                score = table.get(unit[b:e], -20.0 if e == b + 1 else None)
+                if score is not None:
+                    ways.append((state[b][0] + score, -b, [*state[b][1], unit[b:e]]))
+            top = max(ways, key=lambda w: w[:2])
+            state.append((top[0], top[2]))
+        return state[-1]
+
+    rows = L.best_paths(spark.createDataFrame([(u,) for u in units], "unit string"), spark.createDataFrame(list(table.items()), "piece string, score double"), 4).collect()
+    assert {r.unit: (r.score, list(r.pieces)) for r in rows} == {u: best(u) for u in units}
