@@ -52,6 +52,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound the session's Arrow batches to ``rows``, unless they are smaller: a batch of long texts is held several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, rows)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder through Spark's own file system classes."""
     jvm = spark.sparkContext._jvm

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revstrata.llm.common import mix64, release, ship, written
+from revstrata.llm.common import mix64, release, ship, small_batches, written
 from revstrata.llm.components import components
 
 NEED = 3
@@ -246,6 +246,7 @@ def _opened(placed: DataFrame, qualify: DataFrame, spreads: DataFrame, percent:
 def links_and_classes(docs: DataFrame, words: int = 5, percent: int = 80, need: int = NEED) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, class) of every document, and links (a, b) of classes whose components are those of all links."""
     docs = docs.select("doc_id", "text")
+    small_batches(docs.sparkSession)
     sets = written(sets_of(docs, words, percent, frequent_tokens(docs, words), need), "sets")
     representatives = sets.where(F.col("n") > 0).groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     listed = written(_listed(sets, percent, need), "listed")

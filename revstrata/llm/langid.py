@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revstrata.llm import ftrl
-from revstrata.llm.common import fold_of, ship
+from revstrata.llm.common import fold_of, ship, small_batches
 from revstrata.llm.textfeat import Letters, char_ngrams
 
 BITS, ORDERS = 16, (1, 2, 3)
@@ -110,6 +110,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     A null text and one without a letter have ``und`` and 0.0, as has every text under a model without
     languages. Equal texts have equal results; the model is the same for any number of rows.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast((model.langs, model.weights, model.idf, model.temperature))
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revstrata.llm import ftrl
-from revstrata.llm.common import fold_of, ship
+from revstrata.llm.common import fold_of, ship, small_batches
 from revstrata.llm.textfeat import Letters, word_features
 
 BITS, PREFIXES = 18, (4, 5, 6)
@@ -113,6 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, rounds: int
 
 def predict(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score and predicted (columns of these names are replaced), from the column ``text`` alone; a null text is scored as an empty one."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast((model.weights, model.temperature, model.shift))
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
