@@ -128,7 +128,8 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, block_tokens: in
     """(doc_id, n_tokens) of every document: texts to token files in the shared folder, then the scan, then ids by (file, ordinal)."""
     folder = scratch(docs.sparkSession, "tokens")
     index = write_token_files(docs, folder, vocabulary)
-    return index.join(scan(index, folder, block_tokens=block_tokens), ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # no broadcast: both sides grow with the documents
+    return index.join(scan(index, folder, block_tokens=block_tokens).hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
 
 
 ship(__name__)
