@@ -31,7 +31,7 @@ MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
 DICTIONARY = 200_000
 LONGEST = 48
-HELD_UNITS = 100_000
+HELD_UNITS = 300_000
 SLICE = 1000
 
 
