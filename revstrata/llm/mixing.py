@@ -2,11 +2,14 @@
 
 The tokens of every cell (source, language, topic) are raked in turn to the target shares of the three
 margins until a sweep changes no margin by more than a tolerance. A document's probability is its cell's
-calibrated weight over the cell's tokens, scaled so that none exceeds one; a hash of doc_id draws.
+calibrated weight over the cell's tokens, scaled so that none exceeds one; a hash of doc_id draws. For a sample
+the weights are cut at one instead of scaled, so that no rare cell thins all others: a cell over its target is
+thinned to it, a cell under its target is kept whole, and what such cells lack is logged.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +20,7 @@ from revstrata.llm.common import written
 MARGINS = ("source", "lang", "topic")
 BROADCAST_CELLS = 50_000
 SALTS = 64
+LOG = logging.getLogger(__name__)
 
 
 def topic_of(text: Column) -> Column:
@@ -67,11 +71,41 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 30, tole
     return now
 
 
-def calibrate(docs: DataFrame, topic: Column | None = None, power: float = 0.7, targets: dict[str, DataFrame] | None = None, budget: float = 1.0, seed: int = 17) -> DataFrame:
+def capped_rate(raked: DataFrame, budget: float = 1.0) -> float:
+    """The rate, at most 1, at which the sum of min(1, _weight * rate) * tokens is ``budget`` of all tokens; cells that fall short are logged.
+
+    At 1 every cell's expected tokens are its target, or all it has. The rate rises to the solution by steps over the
+    cells that are kept whole so far; the driver sees three numbers a step.
+    """
+    tokens, weight = F.col("tokens"), F.col("_weight")
+    rate = 0.0
+    for _ in range(100):  # a step keeps one more cell whole, or is the last
+        whole = weight * F.lit(rate) >= 1
+        total, kept, slope = raked.agg(F.sum(tokens), F.sum(F.when(whole, tokens).otherwise(0)), F.sum(F.when(whole, 0.0).otherwise(weight * tokens))).first()
+        now = min(1.0, (budget * total - kept) / slope) if slope else rate or 1.0
+        if now <= rate * (1 + 1e-12):
+            break
+        rate = now
+    wanted, got = weight * F.lit(rate) * tokens, F.least(F.lit(1.0), weight * F.lit(rate)) * tokens
+    cells, short, lacking, expected = raked.agg(F.count("*"), F.count_if(weight * F.lit(rate) > 1), F.sum(wanted - got), F.sum(got)).first()
+    LOG.warning("mixing: rate %.4f keeps %.0f of %s tokens; %d of %d cells fall short of their targets, by %.0f tokens", rate, expected or 0, total, short, cells, lacking or 0)
+    return rate
+
+
+def short_cells(drawn: DataFrame) -> DataFrame:
+    """(source, lang, topic, tokens, wanted) of the cells in calibrate()'s output whose targets at the rate 1 exceed what they have."""
+    cells = drawn.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens"), F.sum(F.col("weight") * F.col("n_tokens")).alias("wanted"))
+    return cells.where(F.col("wanted") > F.col("tokens") * (1 + 1e-9))
+
+
+def calibrate(
+    docs: DataFrame, topic: Column | None = None, power: float = 0.7, targets: dict[str, DataFrame] | None = None, budget: float = 1.0, seed: int = 17, capped: bool = False
+) -> DataFrame:
     """``docs`` with the columns topic, n_tokens, weight, probability and sampled.
 
     Tokens are words between white space. ``targets`` replaces tempered targets for the margins it names.
-    ``budget`` bounds the expected share of tokens that is drawn. Null sources and languages are a category of
+    ``budget`` bounds the expected share of tokens that is drawn. With ``capped`` probabilities are the weights cut at
+    one, at the rate of capped_rate(); else all are scaled by the largest weight. Null sources and languages are a category of
     their own; a null or empty text has no tokens, and weighs what its cell weighs (0, if the cell has no
     tokens); equal doc_ids, and all null ones, share a draw.
     """
@@ -82,7 +116,7 @@ def calibrate(docs: DataFrame, topic: Column | None = None, power: float = 0.7,
     goals = {m: tempered(cells, m, power) if t is None else t for m, t in goals.items()}
     raked = rake(cells, goals).withColumn("_weight", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
     most, n = raked.agg(F.max("_weight"), F.count("*")).first()
-    rate = F.lit(min(budget, 1.0 / most) if most else 0.0)
+    rate = F.lit((capped_rate(raked, budget) if capped else min(budget, 1.0 / most)) if most else 0.0)
     ratios = raked.select(*[F.col(m).alias(f"_{m}") for m in MARGINS], "_weight")
     same = [F.col(m).eqNullSafe(F.col(f"_{m}")) for m in MARGINS]
     if n <= BROADCAST_CELLS:  # at most a few MB
@@ -100,8 +134,8 @@ def calibrate(docs: DataFrame, topic: Column | None = None, power: float = 0.7,
 
 
 def sample(docs: DataFrame, **how) -> DataFrame:
-    """The drawn documents, with the columns of ``docs``; columns with the names that calibrate() adds are kept as they were."""
+    """The drawn documents, each once, with capped weights and the columns of ``docs``; columns with the names that calibrate() adds are kept as they were."""
     names: Sequence[str] = docs.columns
     clash = {c: f"_own_{k}" for k, c in enumerate(names) if c.lower() in ("topic", "n_tokens", "weight", "probability", "sampled")}
     apart = docs.withColumnsRenamed(clash)
-    return calibrate(apart, **how).where("sampled").select(*[F.col(clash.get(c, c)).alias(c) for c in names])
+    return calibrate(apart, **{"capped": True} | how).where("sampled").select(*[F.col(clash.get(c, c)).alias(c) for c in names])

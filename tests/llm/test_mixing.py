@@ -44,3 +44,16 @@ def test_defined_results(odd, none):
     assert mixing.calibrate(none).isEmpty() and mixing.sample(odd.withColumnRenamed("score", "weight")).columns == [*odd.columns[:-1], "weight"]
     empty = [r for r in mixing.calibrate(odd).collect() if not r.text]
     assert all(r.n_tokens == 0 for r in empty)
+
+
+def test_a_rare_document_does_not_thin_the_rest(spark):
+    rows = [(i, "word " * 50, "ab"[i % 3 == 0], "en") for i in range(300)] + [(300, "un mot rare", "c", "fr")]
+    kept = mixing.sample(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).count()
+    assert kept > 250  # scaled by the rare cell's weight: about 60
+
+
+def test_capped_rate(spark):
+    cells = spark.createDataFrame([(100, 0.5), (50, 1.5), (10, 4.0)], "tokens long, _weight double")
+    kept = lambda rate: 100 * min(1, 0.5 * rate) + 50 * min(1, 1.5 * rate) + 10 * min(1, 4.0 * rate)
+    assert mixing.capped_rate(cells) == 1.0
+    assert abs(kept(mixing.capped_rate(cells, budget=0.5)) - 80) < 1e-6 and abs(kept(mixing.capped_rate(cells, budget=0.1)) - 16) < 1e-6
