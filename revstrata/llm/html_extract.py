@@ -32,7 +32,9 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math object audio video canvas".split())
 #: Elements that never hold main text, and what roles, classes and ids say of the same kind.
-OTHER = frozenset("aside button datalist dialog fieldset footer form head menu nav option search select".split())
+OTHER = frozenset("aside button datalist dialog footer head menu nav option search select".split())
+#: Declared to be something else as names are: unless they hold most of the selected text.
+OTHER_MAYBE = frozenset("fieldset form".split())
 OTHER_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status toolbar".split())
 OTHER_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|alert|banner|breadcrumbs?|byline-share|captcha|comments?|commentlist|consent|"
@@ -41,42 +43,51 @@ OTHER_NAMES = re.compile(
     r"skip|social|sponsor\w*|subscribe|subscription|teasers?|toolbar|topbar|widgets?)(?:$|[\s_-])",
     re.I,
 )
+#: Names that tell of a page's layout or state, not of what an element is: has-sidebar, no-sidebar, main-with-nav, comments-open, content-sidebar-wrap.
+LAYOUT_NAMES = re.compile(r"(?:(?<=[\s_-])|^)(?:(?:has|no|with|without)[_-][^\s]*|[^\s_-]+[_-](?:open|opened|closed)(?=$|[\s_-])|content[_-]sidebars?(?=$|[\s_-]))", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、'\"“”«»()¿¡-]")
 CLOSES_P = BLOCKS - {"option", "optgroup", "legend", "caption"}
 
 
-def _declared_other(tag: str, raw: str, in_article: bool) -> bool:
+def _declared_other(tag: str, raw: str, in_article: bool) -> str:
+    """Whether an element is declared to be something else: "surely", the word that says so (of its names, or form), or ""."""
     if tag in OTHER or (tag == "header" and not in_article):
-        return True
+        return "surely"
+    found = tag if tag in OTHER_MAYBE else ""
     if not raw.strip(" /"):
-        return False
+        return found
     for m in ATTRIBUTE.finditer(raw):
         name = (m[1] or m[5]).lower()
         value = m[2] or m[3] or m[4] or ""
-        if name in ("class", "id") and tag not in ("html", "body") and OTHER_NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", html_lib.unescape(value))):
-            return True
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+            names = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", html_lib.unescape(value))
+            word = OTHER_NAMES.search(names) and OTHER_NAMES.search(LAYOUT_NAMES.sub("", names))
+            if word:
+                found = word[0].strip(" \t\r\n\f_-").lower()
         if name == "role" and value.strip().lower() in OTHER_ROLES:
-            return True
+            if tag not in OTHER_MAYBE or value.strip().lower() != "form":
+                return "surely"
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            return True
-    return False
+            return "surely"
+    return found
 
 
-def leaves_of(page: str) -> tuple[list[str], list[str], list[int], list[bool], list[tuple[int, ...]], dict[int, str]]:
-    """Text leaves in page order: text, path of block tags, block number, declared-other flag, containers; and each container's tag."""
-    texts, paths, blocks, others, inside = [], [], [], [], []
-    #: Tag, whether it opened a container, and for what is inside it: path, containers, declared other, in an article.
-    stack: list[tuple[str, bool, str, tuple[int, ...], bool, bool]] = [("", True, "", (), False, False)]
+def leaves_of(page: str) -> tuple[list[str], list[str], list[int], list[bool], list[tuple[tuple[str, int], ...]], list[tuple[int, ...]], dict[int, str]]:
+    """Text leaves in page order: text, path of block tags, block number, surely-other flag, words of maybe-other elements with their depth, containers; and each container's tag."""
+    texts, paths, blocks, others, maybes, inside = [], [], [], [], [], []
+    #: Tag, whether it opened a container, and for what is inside it: path, containers, surely other, maybe other, in an article.
+    stack: list[tuple[str, bool, str, tuple[int, ...], bool, tuple[tuple[str, int], ...], bool]] = [("", True, "", (), False, (), False)]
     tags: dict[int, str] = {}
     block, at, size = 0, 0, len(page)
 
     def text(piece: str) -> None:
         if not piece.isspace() or texts and blocks[-1] == block:
-            _, _, path, chain, other, _ = stack[-1]
+            _, _, path, chain, other, maybe, _ = stack[-1]
             texts.append(piece)
             paths.append(path)
             blocks.append(block)
             others.append(other)
+            maybes.append(maybe)
             inside.append(chain)
 
     while at < size:
@@ -134,13 +145,17 @@ def leaves_of(page: str) -> tuple[list[str], list[str], list[int], list[bool], l
                             break
             if tag in VOID:
                 continue
-            _, _, path, chain, other, article = stack[-1]
-            other = other or _declared_other(tag, m[3], article)
+            _, _, path, chain, other, maybe, article = stack[-1]
+            declared = _declared_other(tag, m[3], article)
+            if declared == "surely":
+                other = True
+            elif declared and len(maybe) < 50:  # in deeper ones the outer words decide
+                maybe = (*maybe, (declared, sum(w == declared for w, _ in maybe)))
             if tag in BLOCKS:
                 chain, path = (*chain, len(tags)), f"{path}/{tag}"
                 tags[len(tags)] = tag
-            stack.append((tag, tag in BLOCKS, path, chain, other, article or tag in ("article", "main")))
-    return texts, paths, blocks, others, inside, tags
+            stack.append((tag, tag in BLOCKS, path, chain, other, maybe, article or tag in ("article", "main")))
+    return texts, paths, blocks, others, maybes, inside, tags
 
 
 def path_scores(paths: list[str], lengths: np.ndarray, marks: np.ndarray) -> np.ndarray:
@@ -155,11 +170,27 @@ def path_scores(paths: list[str], lengths: np.ndarray, marks: np.ndarray) -> np.
     return np.where(weight > 0, around / np.maximum(weight, 1e-9), 0.0)
 
 
+def discarded(lengths: np.ndarray, content: np.ndarray, named: list[bool], maybes: list[tuple[tuple[str, int], ...]]) -> set[tuple[str, int]]:
+    """The words whose elements are discarded: those without most of the selected text, and none if no selected text would stay.
+
+    Elements that stand beside each other under one word count together; one inside another of the same word counts apart.
+    Beside an article (``named``: what is in one) with selected text of its own, text outside articles does not speak for a word.
+    """
+    beside = any(named[k] and not maybes[k] for k in np.flatnonzero(content))
+    held: dict[tuple[str, int], float] = {}
+    for k in np.flatnonzero(content):
+        for e in maybes[k] if named[k] or not beside else ():
+            held[e] = held.get(e, 0.0) + lengths[k]
+    total = float(lengths[content].sum())
+    drop = {e for m in maybes for e in m if held.get(e, 0.0) <= 0.5 * total}
+    return drop if any(drop.isdisjoint(maybes[k]) for k in np.flatnonzero(content)) else set()
+
+
 def main_text(page: str | None, share: float = 0.5) -> str:
     """The main text of one page: blocks joined by an empty line; ``share`` of the scores' deviation is the threshold."""
     if not page:
         return ""
-    texts, paths, blocks, others, inside, tags = leaves_of(page)
+    texts, paths, blocks, others, maybes, inside, tags = leaves_of(page)
     if not texts:
         return ""
     decoded = [html_lib.unescape(t) if "&" in t else t for t in texts]
@@ -168,6 +199,13 @@ def main_text(page: str | None, share: float = 0.5) -> str:
     marks = np.array([len(PUNCTUATION.findall(t)) if o else 0 for t, o in zip(decoded, own, strict=True)], dtype=np.float64)
     scores = path_scores(paths, lengths, marks)
     content = own & (lengths > 0) & (scores >= share * scores.std())
+    if any(maybes):  # names are heard only after the ratios, then the rest is scored without what they discard
+        drop = discarded(lengths, content, [any(tags[c] in ("article", "main") for c in x) for x in inside], maybes)
+        own &= np.array([drop.isdisjoint(x) for x in maybes])
+        others = [not o for o in own]
+        lengths, marks = lengths * own, marks * own
+        scores = path_scores(paths, lengths, marks)
+        content = own & (lengths > 0) & (scores >= share * scores.std())
     total = float(lengths[content].sum())
     root = -1
     if total:

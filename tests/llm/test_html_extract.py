@@ -30,3 +30,16 @@ def test_query_columns(spark):
     got = H.extract(rows).collect()
     assert [r.text == "" for r in sorted(got, key=lambda r: r.page_id)] == [False, False, True]
     assert H.extract(rows.limit(0)).isEmpty()
+
+
+BODY = "<p>A first paragraph, long enough, with a comma or two.</p><p>And a second one, which says more, at length.</p>"
+
+
+def test_names_do_not_discard_the_article():
+    for names in ("site-content has-sidebar", "layout no-sidebar", "post comments-open", "main-with-nav", "content-sidebar-wrap", "widget"):
+        got = H.main_text(f'<body><nav>Home</nav><div class="{names}">{BODY}</div><div class="widget">Tags</div></body>')
+        assert "A first paragraph" in got and "second one" in got and "Home" not in got and "Tags" not in got, names
+        assert "second one" in H.main_text(f'<body><article class="{names}">{BODY}</article></body>')
+    assert "second one" in H.main_text(f"<body><form action='/'>{BODY}</form></body>")
+    assert "second one" in H.main_text("<body>" + "".join(f'<div class="elementor-widget">{x}</p></div>' for x in BODY.split("</p>")[:-1]) + "</body>")
+    assert H.main_text(f'<body><div class="ad">{BODY}</div><article><p>A short article.</p></article></body>') == "A short article."
