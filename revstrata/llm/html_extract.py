@@ -4,9 +4,10 @@ A page is cut into text leaves, each with the path of block tags from the root.
 path the characters, punctuation marks and leaves are summed; a path's score is its
 characters a leaf times its punctuation a leaf. Scores are smoothed over neighbouring
 leaves in page order, both ratios fused, and leaves over a share of the deviation are
-content. The container that holds most of the content is then taken whole, less what its
-markup declares to be something else (menus, adverts, forms, comments and the like), so
-that short headings and paragraphs beside the long ones stay.
+content. The container that holds most of the content is then taken whole, and so is the
+innermost one of each content leaf outside it, less what their markup declares to be
+something else (menus, adverts, forms, comments and the like), so that short headings and
+paragraphs beside the long ones stay, and no content leaf is lost.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math object audio video canvas".split())
+#: Of these, those that end at their parent, or at the next block, where they are not closed; the others then reach to the page's end.
+EMBEDDED = frozenset("template svg math object audio video canvas".split())
+SECTIONS = frozenset("article main section div td blockquote".split())
 #: Elements that never hold main text, and what roles, classes and ids say of the same kind.
 OTHER = frozenset("aside button datalist dialog footer head menu nav option search select".split())
 #: Declared to be something else as names are: unless they hold most of the selected text.
@@ -79,6 +83,7 @@ def leaves_of(page: str) -> tuple[list[str], list[str], list[int], list[bool], l
     stack: list[tuple[str, bool, str, tuple[int, ...], bool, tuple[tuple[str, int], ...], bool]] = [("", True, "", (), False, (), False)]
     tags: dict[int, str] = {}
     block, at, size = 0, 0, len(page)
+    unclosed: set[str] = set()
 
     def text(piece: str) -> None:
         if not piece.isspace() or texts and blocks[-1] == block:
@@ -127,7 +132,13 @@ def leaves_of(page: str) -> tuple[list[str], list[str], list[int], list[bool], l
                 continue
             if tag in RAW:
                 if not m[3].rstrip().endswith("/"):
-                    end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+                    end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+                    if not end and tag in EMBEDDED:
+                        unclosed.add(tag)
+                        _, _, path, chain, _, maybe, article = stack[-1]
+                        if stack[-1][0] not in EMBEDDED:
+                            stack.append((tag, False, path, chain, True, maybe, article))
+                        continue
                     if not end:
                         break
                     close = page.find(">", end.end() - 1)
@@ -135,6 +146,9 @@ def leaves_of(page: str) -> tuple[list[str], list[str], list[int], list[bool], l
                 continue
             if tag in BLOCKS:
                 block += 1
+                if unclosed:
+                    first = next((k for k, x in enumerate(stack) if x[0] in EMBEDDED), len(stack))
+                    del stack[first:]
                 if tag in CLOSES_P or tag == "li":
                     closed = {"p", "li"} if tag == "li" else {"dt", "dd", "p"} if tag in ("dt", "dd") else {"p"}
                     for k in range(len(stack) - 1, 0, -1):
@@ -221,10 +235,18 @@ def main_text(page: str | None, share: float = 0.5) -> str:
             while root >= 0 and tags[root] not in ("article", "main", "section", "div", "body", "html", "td", "blockquote"):
                 chain = next(x for x in inside if root in x)
                 root = chain[chain.index(root) - 1] if chain.index(root) else -1
+    whole, alone = {root}, set()
+    if root >= 0:
+        chain = next(x for x in inside if root in x)
+        around = set(chain[: chain.index(root)])
+        for k in np.flatnonzero(content):
+            if root not in inside[k]:  # its innermost section, or its block alone where that would hold the root
+                alone.add(blocks[k])
+                whole.add(next((c for c in reversed(inside[k]) if tags[c] in SECTIONS and c not in around), root))
     out: list[str] = []
     last = None
     for t, b, o, x in zip(decoded, blocks, others, inside, strict=True):
-        if o or (root >= 0 and root not in x):
+        if o or (root >= 0 and b not in alone and whole.isdisjoint(x)):
             continue
         if b == last:
             out[-1] += t

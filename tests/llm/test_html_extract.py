@@ -43,3 +43,19 @@ def test_names_do_not_discard_the_article():
     assert "second one" in H.main_text(f"<body><form action='/'>{BODY}</form></body>")
     assert "second one" in H.main_text("<body>" + "".join(f'<div class="elementor-widget">{x}</p></div>' for x in BODY.split("</p>")[:-1]) + "</body>")
     assert H.main_text(f'<body><div class="ad">{BODY}</div><article><p>A short article.</p></article></body>') == "A short article."
+
+
+def test_selected_text_outside_the_container_stays():
+    lead = "<div><p>A lead paragraph, which stands in its own element, before the body.</p></div>"
+    body = "<div>" + BODY * 4 + "</div>"
+    got = H.main_text(f"<body><nav>Home</nav>{lead}{body}<div class='ad'>Buy.</div></body>")
+    assert got.startswith("A lead paragraph") and got.count("second one") == 4 and "Home" not in got and "Buy" not in got
+    got = H.main_text(f"<body><article>{BODY * 2}</article><section><h2>Part two</h2>{BODY}</section><p>Last, but not least, a paragraph alone.</p></body>")
+    assert got.count("second one") == 3 and "Part two" in got and got.endswith("a paragraph alone.")
+
+
+def test_unclosed_embedded_elements():
+    for tag in sorted(H.EMBEDDED):
+        for page in (f"<body><div><{tag}><g>x</g></div><div>{BODY}</div></body>", f"<body><{tag} a='b'>fallback{BODY}<p>More <{tag}>y</p>{BODY}</body>"):
+            got = H.main_text(page)
+            assert got.endswith("at length.") and "A first paragraph" in got and "fallback" not in got and "x" not in got.split(), tag
