@@ -95,8 +95,13 @@ def frequent_tokens(docs: DataFrame, words: int, one_in: int = 5, sample_rows: i
     return np.sort(often.toPandas()["token"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A hash of a row's doc_id and text: never null, and different for the texts under one doc_id."""
+    return F.xxhash64(F.col(doc_id).cast("long"), F.col(text))
+
+
 def sets_of(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, need: int = NEED) -> DataFrame:
-    """(doc_id, n, class, tokens, spread): set size, the set's digest, the listed tokens in order, and how many tokens fall in each of BUCKETS.
+    """(doc_id, n, class, tokens, spread, key): set size, the set's digest, the listed tokens in order, how many tokens fall in each of BUCKETS, row_key().
 
     Within a task only a class's first row has tokens and spread (the last 100,000 classes are remembered).
     """
@@ -124,17 +129,17 @@ def sets_of(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, nee
                 lists.append(tokens)
                 spreads.append(spread)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(spreads, pa.list_(pa.int32()))],
-                names=["doc_id", "n", "class", "tokens", "spread"],
+                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(spreads, pa.list_(pa.int32())), batch.column(2)],
+                names=["doc_id", "n", "class", "tokens", "spread", "key"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, "doc_id long, n int, class long, tokens array<long>, spread array<int>")
+    return docs.select(F.col("doc_id").cast("long"), "text", row_key().alias("key")).mapInArrow(of, "doc_id long, n int, class long, tokens array<long>, spread array<int>, key long")
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
-    """A bit for each of 2**FILTER_BITS hash values of the ids: 2 MB, whatever the number of ids."""
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    bits = ids.select(F.shiftright(h, 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))").alias("bit"))
+    """A bit for each of 2**FILTER_BITS remainders of the keys: 2 MB, whatever the number of ids."""
+    h = F.pmod(F.col("key"), F.lit(1 << FILTER_BITS))
+    bits = ids.select(F.shiftright(h, 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(key, 64) as int))").alias("bit"))
     words = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
     out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
@@ -142,23 +147,28 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
 
 
 def _sets_for(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(class, set) of the documents named by ``ids`` (doc_id, class); others are left out by a filter of fixed size, then by the join."""
+    """(class, set) of the classes of ``ids`` (class, key), each from the row with that key; others are left out by a filter of fixed size, then by the join."""
     held = docs.sparkSession.sparkContext.broadcast(_filter_of(ids))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(words)
+        shingle, seen = Shingler(words), {}
         for batch in batches:
-            h = batch.column(2).to_numpy()
-            live = np.flatnonzero((held.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1))
+            keys, h = batch.column(0).to_pylist(), batch.column(2).to_numpy()
+            live = []
+            for k in np.flatnonzero((held.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1)):
+                if keys[k] not in seen:  # repeated rows have one key
+                    seen[keys[k]] = None
+                    if len(seen) > 100_000:
+                        del seen[next(iter(seen))]
+                    live.append(k)
             for k in range(0, len(live), 500):
-                part = batch.take(pa.array(live[k : k + 500]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([shingle(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["doc_id", "set"]
-                )
+                part = batch.take(pa.array(live[k : k + 500], pa.int64()))
+                sets = [shingle(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([digest(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["class", "set"])
 
-    hashed = docs.select(F.col("doc_id").cast("long"), "text", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << FILTER_BITS)).alias("h"))
-    # one row an id, as doc_ids may be repeated: of texts under one id any of the named class will do
-    return ids.join(hashed.mapInArrow(of, "doc_id long, set binary"), "doc_id").select("class", "set")
+    hashed = docs.select(row_key().alias("key"), "text", F.pmod(row_key(), F.lit(1 << FILTER_BITS)).alias("h"))
+    # joined by the set's own digest, so that no other text can stand for a class; one row a class, whatever rows have one key
+    return ids.select("class").join(hashed.mapInArrow(of, "class long, set binary"), "class").dropDuplicates(["class"])
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, representatives: DataFrame, words: int, percent: int) -> DataFrame:
@@ -172,7 +182,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, representatives: DataFrame, wor
     dealt = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b")
     rows = dealt.select("a", "block", F.col("b").alias("class")).unionAll(dealt.select("a", "block", F.col("a").alias("class")).distinct())
     ids = rows.select("class").distinct().join(representatives, "class")
-    ids = written(ids.select("doc_id", "class"), "asked")
+    ids = written(ids.select("key", "class"), "asked")
     sets = _sets_for(docs, ids, words)
 
     def of(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -244,11 +254,11 @@ def _opened(placed: DataFrame, qualify: DataFrame, spreads: DataFrame, percent:
 
 
 def links_and_classes(docs: DataFrame, words: int = 5, percent: int = 80, need: int = NEED) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, class) of every document, and links (a, b) of classes whose components are those of all links."""
+    """(doc_id, n, class, key) of every document, and links (a, b) of classes whose components are those of all links."""
     docs = docs.select("doc_id", "text")
     small_batches(docs.sparkSession)
     sets = written(sets_of(docs, words, percent, frequent_tokens(docs, words), need), "sets")
-    representatives = sets.where(F.col("n") > 0).groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    representatives = sets.where(F.col("n") > 0).groupBy("class").agg(F.min("key").alias("key"), F.first("n").alias("n"))
     listed = written(_listed(sets, percent, need), "listed")
     release(docs.sparkSession)
     spreads = sets.where(F.col("spread").isNotNull()).groupBy("class").agg(F.first("spread").alias("spread"))
@@ -289,7 +299,7 @@ def links_and_classes(docs: DataFrame, words: int = 5, percent: int = 80, need:
     release(docs.sparkSession)
 
     across = _verified(docs, _opened(placed, qualify, spreads, percent, need), representatives, words, percent)
-    return sets.select("doc_id", "n", "class"), stars.unionAll(across)
+    return sets.select("doc_id", "n", "class", "key"), stars.unionAll(across)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -311,13 +321,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, with its own columns, less all but the smallest doc_id of each group of linked documents.
+    """The rows of ``docs``, with its own columns, less all but one of each group of linked documents.
 
-    A doc_id stands for one document: of rows that share one, one stays. Rows with a null doc_id stay, one for each text.
+    The row with the smallest doc_id stays; one with a null doc_id only where the group has no other. A doc_id with
+    several texts is as many documents. Rows without words stay, one for each doc_id and text.
     """
-    keep = near_duplicates(docs, words, percent).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionAll(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))
+    classes, links = links_and_classes(docs, words, percent)
+    found = components(links).select(F.col("node").alias("class"), "component")
+    best = classes.where(F.col("n") > 0).groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("best"))
+    kept = best.join(found, "class", "left").groupBy(F.coalesce("component", "class").alias("component")).agg(F.min("best").alias("best")).select(F.col("best.key").alias("_row_key"))
+    kept = kept.unionAll(classes.where(F.col("n") == 0).select(F.col("key").alias("_row_key")).distinct())
+    return docs.withColumn("_row_key", row_key()).join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*docs.columns)
 
 
 ship(__name__)

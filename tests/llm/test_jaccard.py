@@ -54,3 +54,17 @@ def test_defined_results(odd, none):
     assert len(got) == odd.count() and J.near_duplicates(none).isEmpty()
     kept = J.deduplicated(odd)
     assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "6", "7", "8", "9", "None"]
+
+
+def test_null_and_repeated_ids(spark):
+    rnd = random.Random(3)
+    text = lambda: [f"w{rnd.randrange(10**6)}" for _ in range(60)]
+    near = lambda w: " ".join([*w[:-1], "other"])
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(None, " ".join(a)), (7, near(a)), (1, " ".join(b)), (1, " ".join(c)), (2, near(b)), (3, near(c)), (None, " ".join(d)), (None, near(d)), (None, near(d))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    of = lambda x: sorted(x, key=str)
+    got = [(r.doc_id, r.component_id) for r in J.near_duplicates(docs).collect()]
+    assert of(got) == of([(None, 7), (7, 7), (1, 1), (1, 1), (2, 1), (3, 1), (None, None), (None, None), (None, None)])
+    kept = [(r.doc_id, r.text) for r in J.deduplicated(docs).collect()]
+    assert len(kept) == 4 and {(7, near(a)), (1, " ".join(b)), (1, " ".join(c))} < set(kept)
