@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding with a relational lattice.
 
-Text is made of units: a run of word marks and what follows up to the next mark or line feed. No piece of the
-model crosses units, so a text's pieces are its units' pieces. For the corpus's most frequent units the lattice is
-built by Spark: substrings of bounded length are exploded, equi-joined to the piece table, gathered by unit and
+Text is made of units: a run of word marks with the run of letters, or of other signs, that follows; digits and line
+feeds are units of their own. That holds for models none of whose pieces crosses these units (which is checked); for
+others a unit is a run of marks and all up to the next mark or line feed. So a text's pieces are its units' pieces.
+For the corpus's most frequent units the lattice is built by Spark: substrings of bounded length are exploded, equi-joined to the piece table, gathered by unit and
 folded with a higher-order aggregate. The result is a dictionary of bounded size that encoders hold; units
 outside it are folded in the task by the same rule.
 
@@ -15,6 +16,8 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -29,6 +32,14 @@ from revstrata.llm.common import ship, small_batches, written
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
+#: Numbers that are neither letters nor decimal digits stand with the other signs.
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+FINE = re.compile(f"{MARK}*(?:[^\\W\\d_{NUMERALS}]+|(?:[^{MARK}\\w\n]|[_{NUMERALS}])+)|\\d|{MARK}+|\n")
+#: The same for texts without such numbers, in which it is faster.
+FINE_PLAIN = re.compile(f"{MARK}*(?:[^\\W\\d_]+|(?:[^{MARK}\\w\n]|_)+)|\\d|{MARK}+|\n")
+#: The same as Java patterns; where the two sides know other characters, units differ, but no piece is cut.
+JAVA_UNIT = f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+"
+JAVA_FINE = f"{MARK}*(?:\\p{{L}}+|[^{MARK}\\p{{L}}\\p{{Nd}}\n]+)|\\p{{Nd}}|{MARK}+|\n"
 DICTIONARY = 200_000
 LONGEST = 48
 HELD_UNITS = 300_000
@@ -49,6 +60,11 @@ class Pieces:
         """Each piece's rank alone."""
         return {t: r for t, (r, _) in self.ranks.items()}
 
+    @cached_property
+    def fine(self) -> bool:
+        """Whether no piece crosses the finer units."""
+        return all(FINE.fullmatch(t) for t in self.ranks)
+
 
 def load_pieces(path: str = MODEL) -> Pieces:
     import sentencepiece
@@ -138,6 +154,19 @@ def best_paths(units: DataFrame, scores: DataFrame, length: int, unknown: float
     return paths.unionByName(named.where("n = 0").select("unit", F.array().cast("array<string>").alias("pieces"), F.lit(0.0).alias("score")))
 
 
+def units_of(text: str, pieces: Pieces) -> list[str]:
+    """The units of a text that is not empty, in order."""
+    return (FINE if pieces.fine else UNIT).findall(MARK + text.replace(" ", MARK))
+
+
+def words_of(text: str) -> list[str]:
+    """The units of a text in their coarser form, which hold whole finer ones."""
+    if MARK in text or "  " in text or text[0] == " ":
+        return UNIT.findall(MARK + text.replace(" ", MARK))
+    words = (MARK + text.replace(" ", " " + MARK)).replace("\n", " \n ").split(" ")
+    return [w for w in words if w]
+
+
 def fold_unit(unit: str, pieces: Pieces) -> list[int]:
     """The same fold for one unit in a task: over a list for short units, else with a heap, in n log n of the unit's length."""
     if len(unit) > LONGEST:
@@ -206,7 +235,8 @@ def _fold_long(unit: str, pieces: Pieces) -> list[int]:
 
 def dictionary(docs: DataFrame, pieces: Pieces, size: int = DICTIONARY, longest: int = LONGEST) -> dict[str, bytes]:
     """Identifiers, as bytes of int32, of the ``size`` most frequent units of at most ``longest`` characters, counted over all texts."""
-    units = docs.select(F.explode(F.regexp_extract_all(marked(F.coalesce("text", F.lit(""))), F.lit(f"({MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+)"))).alias("unit"))
+    pattern = JAVA_FINE if pieces.fine else JAVA_UNIT
+    units = docs.select(F.explode(F.regexp_extract_all(marked(F.coalesce("text", F.lit(""))), F.lit(f"({pattern})"))).alias("unit"))
     counts = units.where(F.length("unit") <= longest).groupBy("unit").count().where("count > 1")
     frequent = written(counts.orderBy(F.desc("count"), "unit").limit(size).select("unit"), "units")
     per = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -229,22 +259,36 @@ def encode(docs: DataFrame, model: str = MODEL, size: int = DICTIONARY) -> DataF
 
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parts, known, lossy = held.value
-        pieces, lossy = Pieces(*parts), set(lossy)
+        pieces, lossy, wrong = Pieces(*parts), set(lossy), []
         raw = raw_pieces(pieces)
-        met: dict[str, bytes] = {}  # rare units met so far
+        met: dict[str, bytes] = {}  # other words met so far
+        numerals = frozenset(NUMERALS)
+
+        def fold(unit: str) -> bytes:
+            ids = fold_unit(unit, pieces)
+            if b"".join([raw[k] for k in ids]) != unit.replace(MARK, " ").encode("utf-8", "surrogatepass"):
+                wrong.append(unit)
+            return array("i", ids).tobytes()
 
-        def learn(unit: str) -> bytes:
+        def learn(word: str) -> bytes:
             if len(met) >= HELD_UNITS:
                 met.clear()
-            ids = met[unit] = np.array(fold_unit(unit, pieces), dtype=np.int32).tobytes()
-            if not _decodes(unit, ids, raw):
-                lossy.add(unit)
+            if not pieces.fine or word.lstrip(MARK).isalpha():
+                ids = fold(word)
+            else:
+                units = (FINE_PLAIN if numerals.isdisjoint(word) else FINE).findall(word)
+                ids = b"".join([known.get(u) or fold(u) for u in units])
+                wrong.extend(lossy.intersection(units) if lossy else ())
+            if wrong:
+                lossy.add(word)
+                wrong.clear()
+            met[word] = ids
             return ids
 
         for batch in (b.slice(k, SLICE) for b in batches for k in range(0, len(b), SLICE)):
             ids, lossless = [], []
             for text in batch.to_pylist():
-                units = UNIT.findall(MARK + text.replace(" ", MARK)) if text else ()
+                units = words_of(text) if text else ()
                 found = [known.get(u) or met.get(u) or learn(u) for u in units]
                 ids.append(b"".join(found))
                 lossless.append(not text or (MARK not in text and (not lossy or lossy.isdisjoint(units))))

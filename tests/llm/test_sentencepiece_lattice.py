@@ -9,9 +9,12 @@ LIB = sentencepiece.SentencePieceProcessor(model_file=L.MODEL)
 def test_fold_against_the_library():
     pieces, rnd = L.load_pieces(), random.Random(1)
     for _ in range(2000):
-        t = "".join(rnd.choice("abthe noniné😀x\n \t漢字<s>▁") for _ in range(rnd.randint(0, 120)))
-        ids = [i for u in L.UNIT.findall(L.MARK + t.replace(" ", L.MARK)) for i in L.fold_unit(u, pieces)] if t else []
+        t = "".join(rnd.choice("abthe noniné😀x\n \t漢字<s>▁12.,²_-") for _ in range(rnd.randint(0, 120)))
+        ids = [i for u in L.units_of(t, pieces) for i in L.fold_unit(u, pieces)] if t else []
         assert ids == LIB.encode(t), t
+        coarse = L.words_of(t) if t else []
+        assert [i for w in coarse for i in L.fold_unit(w, pieces)] == ids and "".join(coarse) == (L.MARK + t.replace(" ", L.MARK) if t else "")
+    assert pieces.fine and not L.Pieces([], {"a1": (0.0, 0)}, 0, 2).fine
 
 
 def test_lattice_is_the_fold(spark):
