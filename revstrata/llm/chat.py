@@ -64,12 +64,29 @@ def events_of_turns(conversations: DataFrame) -> DataFrame:
     )
 
 
+def streamed(messages: DataFrame) -> DataFrame:
+    """A log that folds to the same messages as ``message`` events do, by all kinds of events, as a chat service would write it.
+
+    By ``seq`` modulo three a text comes in two deltas, as an edit of another text, or after a regeneration of one. A
+    message's events keep its place among the others; each ``seq`` becomes five numbers.
+    """
+    half = (F.length("text") / 2).cast("int")
+    event = lambda at, kind, text, role=F.lit(None): F.struct((F.col("seq") * 5 + at).alias("seq"), F.lit(kind).alias("kind"), role.cast("string").alias("role"), text.cast("string").alias("text"))
+    own, none, draft = F.col("role"), F.lit(None), F.lit("a draft")
+    deltas = F.array(event(0, "message", F.lit(""), own), event(1, "delta", F.substring(F.col("text"), F.lit(1), half)), event(2, "delta", F.substring(F.col("text"), half + 1, F.length("text"))))
+    edited = F.array(event(0, "message", draft, own), event(1, "delta", draft), event(2, "edit", F.col("text")))
+    again = F.array(event(0, "message", draft, own), event(1, "regenerate", none), event(2, "delta", F.col("text")))
+    turn = F.pmod("seq", F.lit(3))
+    return messages.select("conv_id", "msg_id", F.explode(F.when(turn == 0, deltas).when(turn == 1, edited).otherwise(again)).alias("e")).select("conv_id", "e.seq", "e.kind", "msg_id", "e.role", "e.text")
+
+
 def fold_events(events: DataFrame) -> DataFrame:
-    """The final messages of event logs: (conv_id, position, role, text).
+    """The final messages of event logs: (conv_id, position, msg_id, role, text).
 
     Null texts are empty; a null kind counts as ``message``; events before a message's first
-    ``message`` event belong to it too; ties of ``seq`` are taken by kind, then text; an empty log
-    has no messages. The role is the last non-null role given.
+    ``message`` event belong to it too; ties of ``seq`` inside a message are taken by kind, then text; messages
+    that begin at one ``seq`` stand in order of msg_id; an empty log has no messages. The role is the last
+    non-null role given, the greatest of a tie.
     """
     starts = F.col("kind").isin("message", "edit", "regenerate", "delete")
     rows = events.select(
@@ -84,20 +101,21 @@ def fold_events(events: DataFrame) -> DataFrame:
     folded = rows.groupBy("conv_id", "msg_id").agg(
         log.alias("log"),
         F.max(F.when(starts, F.struct("seq", "kind", "text", "role"))).alias("base"),
-        F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).alias("role"),
+        F.max(F.when(F.col("role").isNotNull(), F.struct("seq", "role"))).alias("last_role"),
         F.min("seq").alias("position"),
     )
-    live = F.filter("log", lambda e: F.col("base").isNull() | (F.struct(e["seq"], e["kind"], e["text"], e["role"]) >= F.col("base")))
+    later = F.filter("log", lambda e: F.col("base").isNull() | (F.struct(e["seq"], e["kind"], e["text"], e["role"]) > F.col("base")))
     return folded.where(F.col("base").isNull() | (F.col("base.kind") != "delete")).select(
         "conv_id",
         "position",
-        F.coalesce("role", F.lit("")).alias("role"),
-        F.array_join(F.transform(live, lambda e: e["text"]), "").alias("text"),
+        "msg_id",
+        F.coalesce("last_role.role", F.lit("")).alias("role"),
+        F.concat(F.coalesce("base.text", F.lit("")), F.array_join(F.transform(later, lambda e: e["text"]), "")).alias("text"),
     )
 
 
 def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """One row per conversation: conv_id, formatted, loss_spans (start, length in code points of ``formatted``).
+    """One row per conversation of messages (conv_id, position, msg_id, role, text): conv_id, formatted, loss_spans (start, length in code points of ``formatted``).
 
     A turn is ``<|im_start|>`` role, line feed, text, ``<|im_end|>``, line feed, with role and
     text escaped. A span covers the escaped text of a turn of ``loss_role``.
@@ -106,15 +124,16 @@ def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
     turns = messages.select(
         "conv_id",
         "position",
+        "msg_id",
         (F.col("role") == loss_role).alias("loss"),
         F.concat(F.lit(START), role, F.lit("\n")).alias("head"),
         text.alias("body"),
     ).withColumn("turn_length", F.length("head") + F.length("body") + len(TURN_END))
-    before = Window.partitionBy("conv_id").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("conv_id").orderBy("position", "msg_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = turns.withColumn("at", F.coalesce(F.sum("turn_length").over(before), F.lit(0)) + F.length("head"))
     whole = placed.groupBy("conv_id").agg(
         F.array_sort(
-            F.collect_list(F.struct("position", F.concat("head", "body", F.lit(TURN_END)).alias("turn"), "loss", F.col("at").alias("start"), F.length("body").cast("long").alias("length")))
+            F.collect_list(F.struct("position", "msg_id", F.concat("head", "body", F.lit(TURN_END)).alias("turn"), "loss", F.col("at").alias("start"), F.length("body").cast("long").alias("length")))
         ).alias("turns")
     )
     return whole.select(

@@ -33,7 +33,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and conversation -1, formatted and read back from the output."""
+    """All conversations and conversation -1 as logs of deltas, edits and regenerations, folded, formatted and read back from the output."""
     rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = chat.END + chat.START + "assistant ok"
     extra = spark.range(2).select(
@@ -42,7 +42,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(hostile).alias("text"),
     )
-    formatted = chat.render(chat.fold_events(chat.events_of_turns(rows.unionByName(extra))))
+    formatted = chat.render(chat.fold_events(chat.streamed(chat.events_of_turns(rows.unionByName(extra)))))
     turns = chat.read_back(F.col("formatted"))
     loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
     return formatted.withColumn("turns", turns).withColumn("loss", loss).select(

@@ -80,7 +80,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, rounds: int
     rank = F.pmod(F.xxhash64("doc_id"), F.lit(places))
     chosen = marks.where(rank < F.when(F.col("label") == 1, int(places * shares[1])).otherwise(int(places * shares[0])))
     shards = max(1, -(-int(take + shares[0] * negative) // shard_rows))
-    sample = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(chosen, "doc_id").select(
+    sample = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select(  # about fit_rows numbers
         F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(shards)).alias("shard"),
         F.xxhash64("doc_id", F.lit(2)).alias("rank"),
         F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(5)).alias("part"),
