@@ -12,27 +12,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from revstrata.llm import jaccard, langid, mixing, sentencepiece_lattice, toxicity
-from revstrata.llm.common import written
+from revstrata.llm.common import release, written
 from revstrata.tables import load
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return langid.accepted(docs, langid.fit(docs))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return toxicity.clean(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return jaccard.deduplicated(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return mixing.sample(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return sentencepiece_lattice.encode(docs).select("doc_id", "source", "lang", "n_pieces", "ids", "lossless")
 
 
