@@ -12,7 +12,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revstrata.llm.common import release, written
@@ -20,6 +20,7 @@ from revstrata.llm.common import release, written
 MARGINS = ("source", "lang", "topic")
 BROADCAST_CELLS = 50_000
 SALTS = 64
+SWEEPS_A_JOB = 3
 LOG = logging.getLogger(__name__)
 
 
@@ -45,30 +46,31 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 30, tole
     """``cells`` (margins, tokens) with a column ``weight`` whose margins are the targets' shares of all tokens.
 
     A target table has its margin's column and ``share``. Categories without a target get the weight 0. An empty
-    table stays empty. Each margin ends in a small written table, so that plans stay short; the driver sees one number a
-    sweep. Where ``sweeps`` end before no margin moves by more than ``tolerance`` (relative), that is logged.
+    table stays empty. A few sweeps are one plan of windows over the cells, one after another, and
+    end in a small written table, of which the driver sees one number. Where ``sweeps`` end before no margin moves by more than ``tolerance`` (relative), that is logged.
     """
     total = F.lit(cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0] or 0)
-    now = written(cells.withColumn("weight", F.col("tokens").cast("double")).withColumn("_off", F.lit(0.0)), "cells")
-    fixed = {m: written(t.withColumnRenamed(m, "_to"), f"target-{m}") for m, t in targets.items()}
-    worst = None
-    for _ in range(sweeps):
-        now = now.withColumn("_off", F.lit(0.0))
-        for m, target in fixed.items():
-            mass = now.groupBy(F.col(m).alias("_of")).agg(F.sum("weight").alias("_mass"))
-            ratio = mass.join(target, F.col("_of").eqNullSafe(F.col("_to")), "left").select(
-                "_of", F.when(F.col("_mass") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("_mass")).otherwise(0.0).alias("_ratio")
-            )
-            moved = now.join(ratio, F.col(m).eqNullSafe(F.col("_of")))
-            off = F.greatest("_off", F.when(F.col("weight") > 0, F.abs(F.col("_ratio") - 1)).otherwise(0.0))
-            now = written(moved.withColumn("_off", off).withColumn("weight", F.col("weight") * F.col("_ratio")).drop("_of", "_ratio"), "cells")
+    start = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for m, target in targets.items():
+        goal = target.select(F.col(m).alias("_to"), F.col("share").alias(f"_share_{m}"))
+        start = start.join(goal, F.col(m).eqNullSafe(F.col("_to")), "left").drop("_to")
+    now, worst = written(start, "cells"), None
+    for _ in range(0, sweeps, SWEEPS_A_JOB):
+        for _ in range(SWEEPS_A_JOB):
+            now = now.withColumn("_off", F.lit(0.0))
+            for m in targets:
+                mass = F.sum("weight").over(Window.partitionBy(m))
+                now = now.withColumn("_ratio", F.when(mass > 0, F.coalesce(f"_share_{m}", F.lit(0.0)) * total / mass).otherwise(0.0))
+                now = now.withColumn("_off", F.greatest("_off", F.when(F.col("weight") > 0, F.abs(F.col("_ratio") - 1)).otherwise(0.0))).withColumn("weight", F.col("weight") * F.col("_ratio"))
+        now = written(now.drop("_ratio"), "cells")
         worst = now.agg(F.max("_off")).first()[0]
+        now = now.drop("_off")
         if worst is None or worst <= tolerance:
             break
     else:
         LOG.warning("mixing: not converged after %d sweeps; a margin still moved by a factor of 1 +- %g", sweeps, worst or 0.0)
     release(cells.sparkSession)
-    return now.drop("_off")
+    return now.drop(*[f"_share_{m}" for m in targets])
 
 
 def capped_rate(raked: DataFrame, budget: float = 1.0) -> float:
