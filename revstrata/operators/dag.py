@@ -1,7 +1,10 @@
 """Operators over commit graphs: (rev, parent) edges, where a parent's rev is less than its child's.
 
-Traversals are loops of joins: each round joins the frontier with the edges, drops what was seen and writes the
-new rows, so that the plan does not grow. The number of rounds is the depth of what is traversed.
+Traversals first contract runs, the stretches of history without a branch or a merge, by pointer doubling: as many joins
+as the longest run's length has binary digits. Loops of joins then go over the graph of runs, a few of its generations a
+job, and the runs reached are expanded again; so the number of jobs follows the branches and merges on a way, not the
+commits. Each round ends in a written table, and what is collected over rounds is rewritten as one table every few
+rounds, so that plans stay bounded.
 """
 
 from __future__ import annotations
@@ -9,16 +12,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Generations of the graph of runs that one job goes over, and written tables after which they become one.
+HOPS, PARTS = 3, 8
+
 
 def _cut(df: DataFrame) -> DataFrame:
     """``df`` as a table in the folder of ``spark.checkpoint.dir``, or of a temporary one where that is unset."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="revstrata-"))
         base = spark.sparkContext.getCheckpointDir()
     path = f"{base.rstrip('/')}/revstrata/dag-{uuid.uuid4().hex}"
@@ -65,15 +74,67 @@ def topological_heads(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return branch_heads(nodes, edges).join(edges.select(F.col("parent").alias("rev")), "rev", "left_anti")
 
 
+class _Parts:
+    """Rows gathered over rounds, as a bounded number of written tables."""
+
+    def __init__(self, *first: DataFrame) -> None:
+        self.tables = list(first)
+
+    def all(self) -> DataFrame:
+        return reduce(DataFrame.unionAll, self.tables)
+
+    def add(self, table: DataFrame) -> None:
+        self.tables.append(table)
+        if len(self.tables) >= PARTS:
+            self.tables = [_cut(self.all())]
+
+
+def _runs(edges: DataFrame, here: str, there: str) -> tuple[DataFrame, DataFrame]:
+    """Runs along edges (here, there): (rev, run, pos) of all nodes but the runs' ends, and the edges (run, next) between runs.
+
+    An edge lies inside a run if it is the only one from ``here`` and the only one to ``there``. A run is named after its
+    end, from which ``pos`` counts; a node that is not in the first table is the end of its own run. Edges between runs go
+    from an end to the first node of the next.
+    """
+    sole_from = edges.groupBy(here).agg(F.count("*").alias("_n")).where("_n = 1").select(here)
+    sole_to = edges.groupBy(there).agg(F.count("*").alias("_n")).where("_n = 1").select(there)
+    inner = edges.join(sole_from, here, "left_semi").join(sole_to, there, "left_semi")
+    jumps = _cut(inner.select(F.col(here).alias("rev"), F.col(there).alias("run"), F.lit(1).cast("long").alias("pos")))
+    links = jumps.select(F.col("rev").alias(here), F.col("run").alias(there))
+    while True:
+        far = jumps.select(F.col("rev").alias("run"), F.col("run").alias("_run"), F.col("pos").alias("_pos"))
+        doubled = jumps.join(far, "run", "left").select("rev", F.coalesce("_run", "run").alias("run"), (F.col("pos") + F.coalesce("_pos", F.lit(0))).alias("pos"), F.col("_run").isNotNull().alias("_moved"))
+        doubled = _cut(doubled)
+        jumps = doubled.drop("_moved")
+        if doubled.where("_moved").isEmpty():
+            break
+    between = edges.join(links, [here, there], "left_anti")
+    return jumps, _cut(between.join(jumps.select(F.col("rev").alias(there), "run"), there, "left").select(F.col(here).alias("run"), F.coalesce("run", there).alias("next")).distinct())
+
+
+def _placed(rows: DataFrame, runs: DataFrame, key: str = "rev") -> DataFrame:
+    """``rows`` with the run and the place of their node."""
+    at = runs.select(F.col("rev").alias(key), "run", "pos")
+    return rows.join(at, key, "left").withColumn("run", F.coalesce("run", key)).withColumn("pos", F.coalesce("pos", F.lit(0)))
+
+
 def _closure(edges: DataFrame, starts: DataFrame, here: str, there: str, follow: DataFrame | None) -> DataFrame:
-    seen = _cut(starts.select("rev").distinct())
-    frontier = seen
+    used = edges if follow is None else edges.join(follow.select(F.col("rev").alias(here)), here, "left_semi")
+    runs, between = _runs(used, here, there)
+    entered = _cut(_placed(starts.select("rev").distinct(), runs).groupBy("run").agg(F.max("pos").alias("upto")))
+    frontier, whole = entered.select("run"), _Parts(entered.select("run").limit(0))
     while not frontier.isEmpty():
-        going = frontier if follow is None else frontier.join(follow.select("rev"), "rev", "left_semi")
-        reached = going.join(edges, going.rev == edges[here]).select(F.col(there).alias("rev")).distinct()
-        frontier = _cut(reached.join(seen, "rev", "left_anti"))
-        seen = seen.unionAll(frontier)
-    return seen
+        reached, step = None, frontier
+        for hop in range(HOPS):
+            step = step.join(between, "run").select(F.col("next").alias("run")).distinct()
+            level = step.withColumn("hop", F.lit(hop))
+            reached = level if reached is None else reached.unionAll(level)
+        new = _cut(reached.groupBy("run").agg(F.min("hop").alias("hop")).join(whole.all(), "run", "left_anti"))
+        whole.add(new.select("run"))
+        frontier = new.where(F.col("hop") == HOPS - 1).select("run")
+    met = entered.select("run", "upto").unionAll(whole.all().select("run", F.lit((1 << 63) - 1).alias("upto"))).groupBy("run").agg(F.max("upto").alias("upto"))
+    inside = runs.join(met, "run").where(F.col("pos") <= F.col("upto")).select("rev")
+    return _cut(met.select(F.col("run").alias("rev")).unionAll(inside))
 
 
 def ancestors(nodes: DataFrame, edges: DataFrame, starts: DataFrame, follow: DataFrame | None = None) -> DataFrame:
@@ -104,32 +165,45 @@ def ancestry_path(nodes: DataFrame, edges: DataFrame, include: DataFrame, exclud
 
 
 def generation(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(rev, depth): the longest way from a root. A node's depth is final when the last of its parents is."""
-    waiting = edges.groupBy("child").agg(F.count("*").alias("parents"))
-    level = _cut(nodes.select("rev").join(waiting.select(F.col("child").alias("rev")), "rev", "left_anti"))
-    done, depth = level.withColumn("depth", F.lit(0)), 0
-    waiting = _cut(waiting)
-    while True:
-        came = level.join(edges, level.rev == edges.parent).groupBy("child").agg(F.count("*").alias("came"))
-        waiting = _cut(waiting.join(came, "child", "left").select("child", (F.col("parents") - F.coalesce("came", F.lit(0))).alias("parents")))
-        level = _cut(waiting.where("parents = 0").select(F.col("child").alias("rev")))
-        waiting = waiting.where("parents > 0")
-        if level.isEmpty():
-            return done
-        depth += 1
-        done = done.unionAll(level.withColumn("depth", F.lit(depth)))
+    """(rev, depth): the longest way from a root. A run's depth is final when the last of its parents' is."""
+    runs, between = _runs(edges, "child", "parent")
+    lengths = runs.groupBy("run").agg((F.max("pos") + 1).alias("length")).withColumnRenamed("run", "next")
+    between = _cut(between.join(lengths, "next", "left").select("run", "next", F.coalesce("length", F.lit(1)).cast("long").alias("length")))
+    ends = nodes.select("rev").distinct().join(runs.select("rev"), "rev", "left_anti").select(F.col("rev").alias("run"))
+    state = _cut(ends.join(between.groupBy("run").agg(F.count("*").alias("open")), "run", "left").select("run", F.coalesce("open", F.lit(0)).alias("open"), F.lit(0).cast("long").alias("depth")))
+    done = _Parts(state.limit(0).select("run", "depth"))
+    while not state.isEmpty():
+        level = state.where("open = 0").select("run", "depth")
+        done.add(level)
+        came = level.select(F.col("run").alias("next"), "depth").join(between, "next").groupBy("run").agg(F.count("*").alias("came"), F.max(F.col("depth") + F.col("length")).alias("least"))
+        left = state.where("open > 0").join(came, "run", "left")
+        state = _cut(left.select("run", (F.col("open") - F.coalesce("came", F.lit(0))).alias("open"), F.greatest("depth", F.coalesce("least", F.lit(0))).alias("depth")))
+    depths = _cut(done.all())
+    inside = runs.join(depths, "run").select("rev", (F.col("depth") + F.col("pos")).alias("depth"))
+    return depths.select(F.col("run").alias("rev"), "depth").unionAll(inside).select("rev", F.col("depth").cast("int").alias("depth"))
 
 
 def is_ancestor(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``is_ancestor``: a is b or an ancestor of b. All pairs advance together."""
-    seen = _cut(pairs.select("b", F.col("b").alias("rev")).distinct())
-    frontier, least = seen, pairs.agg(F.min("a")).first()[0]
-    while not frontier.isEmpty():
-        reached = frontier.join(edges, frontier.rev == edges.child).where(F.col("parent") >= F.lit(least)).select("b", F.col("parent").alias("rev")).distinct()
-        frontier = _cut(reached.join(seen, ["b", "rev"], "left_anti"))
-        seen = seen.unionAll(frontier)
-    found = seen.select("b", F.col("rev").alias("a"), F.lit(True).alias("found"))
-    return pairs.join(found, ["a", "b"], "left").select("a", "b", F.coalesce("found", F.lit(False)).alias("is_ancestor"))
+    """``pairs`` (a, b) with ``is_ancestor``: a is b or an ancestor of b.
+
+    All pairs advance together, by runs; a run looks no further than to the oldest of what is still asked of it.
+    """
+    runs, between = _runs(edges, "child", "parent")
+    placed = _placed(_placed(pairs.select("a", "b").distinct(), runs, "a").withColumnsRenamed({"run": "a_run", "pos": "a_pos"}), runs, "b").withColumnsRenamed({"run": "b_run", "pos": "b_pos"})
+    placed = _cut(placed)
+    asked = _cut(placed.where("a_run <> b_run").select("b_run", "a_run").distinct())
+    frontier = asked.select("b_run", F.col("b_run").alias("run")).distinct()
+    seen, open_ = _Parts(asked.limit(0)), asked
+    while not (frontier.isEmpty() or open_.isEmpty()):
+        floor = open_.groupBy("b_run").agg(F.min("a_run").alias("floor"))
+        reached = frontier.join(between, "run").join(floor, "b_run").where(F.col("next") >= F.col("floor")).select("b_run", F.col("next").alias("a_run")).distinct()
+        new = _cut(reached.join(seen.all(), ["b_run", "a_run"], "left_anti"))
+        seen.add(new)
+        frontier, open_ = new.withColumnRenamed("a_run", "run"), _cut(open_.join(new, ["b_run", "a_run"], "left_anti"))
+    found = seen.all().withColumn("found", F.lit(True))
+    out = placed.join(found, ["a_run", "b_run"], "left")
+    yes = F.when(F.col("a_run") == F.col("b_run"), F.col("a_pos") <= F.col("b_pos")).otherwise(F.coalesce("found", F.lit(False)))
+    return pairs.join(out.select("a", "b", yes.alias("is_ancestor")), ["a", "b"]).select("a", "b", "is_ancestor")
 
 
 def reachable(nodes: DataFrame, edges: DataFrame, targets: DataFrame, sources: DataFrame) -> DataFrame:
@@ -149,17 +223,23 @@ def strip(nodes: DataFrame, edges: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def linear_walk(links: DataFrame, start: DataFrame) -> DataFrame:
-    """(id, step) along (id, prev) from ``start`` back to the chain's begin, by doubling: a logarithmic number of joins."""
-    jumps, reached = _cut(links.where("prev is not null").select("id", F.col("prev").alias("to"))), _cut(start.select("id", F.lit(0).alias("step")))
-    size = 1
+    """(id, step) along (id, prev) from ``start`` back to the chain's begin: over runs of links, and by doubling over the chain of runs."""
+    runs, between = _runs(links.where("prev is not null").select("id", "prev"), "id", "prev")
+    lengths = runs.groupBy("run").agg(F.max("pos").alias("top"))
+    entered = _cut(_placed(start.select(F.col("id").alias("rev")), runs).select("run", F.col("pos").alias("top"), F.lit(0).cast("long").alias("step")))
+    weighed = between.join(lengths.select(F.col("run").alias("next"), "top"), "next", "left").select("run", "next", F.coalesce("top", F.lit(0)).cast("long").alias("top"))
+    # a jump's step counts from a run's end to the first node of the run it leads to
+    jumps, reached = _cut(weighed.select("run", "next", "top", F.lit(1).cast("long").alias("step"))), entered
     while True:
-        new = reached.join(jumps, "id").select(F.col("to").alias("id"), (F.col("step") + size).alias("step"))
-        grown = _cut(reached.unionAll(new))
-        if grown.count() == reached.count():
-            return reached
-        reached = grown
-        there = jumps.select(F.col("id").alias("to"), F.col("to").alias("further"))
-        jumps, size = _cut(jumps.join(there, "to").select("id", F.col("further").alias("to"))), size * 2
+        new = _cut(reached.join(jumps.withColumnsRenamed({"top": "_top", "step": "_step"}), "run").select(F.col("next").alias("run"), F.col("_top").alias("top"), (F.col("step") + F.col("top") + F.col("_step")).alias("step")))
+        if new.isEmpty():
+            break
+        reached = _cut(reached.unionAll(new))
+        there = jumps.select(F.col("run").alias("next"), F.col("next").alias("_next"), F.col("top").alias("_top"), F.col("step").alias("_step"))
+        jumps = _cut(jumps.join(there, "next").select("run", F.col("_next").alias("next"), F.col("_top").alias("top"), (F.col("step") + F.col("top") + F.col("_step")).alias("step")))
+    inside = runs.join(reached, "run").where(F.col("pos") <= F.col("top"))
+    ends = reached.select(F.col("run").alias("id"), (F.col("step") + F.col("top")).cast("int").alias("step"))
+    return ends.unionAll(inside.select(F.col("rev").alias("id"), (F.col("step") + F.col("top") - F.col("pos")).cast("int").alias("step")))
 
 
 def infer_branches(nodes: DataFrame, edges: DataFrame, pushes: DataFrame) -> DataFrame:
