@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revstrata.llm.common import written
+from revstrata.llm.common import release, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
@@ -28,8 +28,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
         links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(F.col("a") != F.col("b")).distinct(), "links"
     )
     sums = None
-    for _ in range(rounds):
+    for turn in range(rounds):
         edges = written(star(star(edges, True), False), "stars")
+        if turn % 3 == 2:
+            release(edges.sparkSession)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == sums:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(edges.select("b", "b").distinct())

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstrata.llm.common import ship, small_batches, written
+from revstrata.llm.common import release, ship, small_batches, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -239,6 +239,7 @@ def dictionary(docs: DataFrame, pieces: Pieces, size: int = DICTIONARY, longest:
     units = docs.select(F.explode(F.regexp_extract_all(marked(F.coalesce("text", F.lit(""))), F.lit(f"({pattern})"))).alias("unit"))
     counts = units.where(F.length("unit") <= longest).groupBy("unit").count().where("count > 1")
     frequent = written(counts.orderBy(F.desc("count"), "unit").limit(size).select("unit"), "units")
+    release(docs.sparkSession)
     per = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = written(lattice(frequent.repartition(per, "unit"), pieces), "unit-pieces")
     return {r["unit"]: np.array(r["ids"], dtype=np.int32).tobytes() for r in known.toLocalIterator()}
