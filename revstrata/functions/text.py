@@ -108,3 +108,39 @@ def decode_capabilities(lines: Column) -> Column:
     value = lambda x: F.when(F.contains(x, F.lit("=")), F.transform(F.split(F.substring(x, F.instr(x, "=") + 1, F.length(x)), ","), percent_decode))
     entry = lambda x: F.struct(percent_decode(F.substring_index(x, "=", 1)).alias("key"), value(x).alias("value"))
     return F.map_from_entries(F.transform(F.filter(F.split(lines, "\n"), lambda x: x != ""), entry))
+
+
+def split_exactly(text: Column, sign: str, n: int, from_end: bool = False) -> Column:
+    """A text cut at ``sign`` into exactly ``n`` pieces, counted from either end, the last of them with what is left; NULL if it has fewer."""
+    if not from_end:
+        parts = F.split(text, r"\Q" + sign + r"\E", n)
+        return F.when(F.size(parts) == n, parts)
+    parts = F.split(text, r"\Q" + sign + r"\E", -1)
+    first = F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - (n - 1), F.lit(0))), sign)
+    return F.when(F.size(parts) >= n, F.concat(F.array(first), F.slice(parts, F.greatest(F.size(parts) - (n - 2), F.lit(1)), F.lit(n - 1))) if n > 1 else F.array(first))
+
+
+def plain_url(address: Column) -> Column:
+    """The address behind ``hg::ADDRESS`` or ``hg://HOST[:[PORT.]SCHEME|:PORT]/...``; NULL for others.
+
+    ``hg::`` before an absolute path makes a file address; without a scheme or port the scheme is https; ``hg://:tags`` is ``tags:``.
+    """
+    rest = F.substring(address, F.lit(5), F.length(address))
+    direct = F.when(rest.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), rest).when(F.startswith(rest, F.lit("/")), F.concat(F.lit("file://"), rest))
+    pattern = r"^hg://((?:\[[^\]]*\]|[^:/?#\[])*)(?::([^/?#]*))?(.*)$"
+    host, word, tail = (F.regexp_extract(address, pattern, k) for k in (1, 2, 3))
+    both = word.rlike("^[^.]*[.][^.]*$")
+    port = F.when(both, F.substring_index(word, ".", 1)).when(word.rlike("^[0-9]+$"), word).otherwise("")
+    scheme = F.when(both, F.substring_index(word, ".", -1)).when((word == "") | word.rlike("^[0-9]+$"), "https").otherwise(word)
+    made = F.when((scheme == "tags") & (host == "") & (port == "") & (tail == ""), "tags:").otherwise(F.concat(scheme, F.lit("://"), host, F.when(port != "", F.concat(F.lit(":"), port)).otherwise(""), tail))
+    return F.when(F.startswith(address, F.lit("hg::")), direct).when(F.startswith(address, F.lit("hg://")), made)
+
+
+def clone_line(line: Column) -> Column:
+    """STRUCT(url, branch, graft) of ``url[#branch] [graft=id,id]``; NULL for an empty line, an unknown or repeated parameter, or a bad identifier."""
+    words = F.filter(F.split(line, r"[ \t]+"), lambda w: w != "")
+    spec, params = F.try_element_at(words, F.lit(1)), F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+    sound = spec.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") & (F.size(params) <= 1) & F.forall(params, lambda p: p.rlike("^graft=[0-9a-f]{40}(,[0-9a-f]{40})*$"))
+    graft = F.flatten(F.transform(params, lambda p: F.split(F.substring_index(p, "=", -1), ",")))
+    branch = F.when(F.contains(spec, F.lit("#")), F.substring(spec, F.instr(spec, "#") + 1, F.length(spec)))
+    return F.when(sound, F.struct(F.substring_index(spec, "#", 1).alias("url"), branch.alias("branch"), graft.alias("graft")))

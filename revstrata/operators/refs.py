@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revstrata.functions.identity import NULL_ID
@@ -12,8 +15,8 @@ from revstrata.operators import dag
 def tips(branch_heads: DataFrame, order: str = "rev") -> DataFrame:
     """Each branch's tip among (branch, rev, closed): its last open head, or its first head if all are closed."""
     closed = F.coalesce("closed", F.lit(False))
-    rank = F.row_number().over(Window.partitionBy("branch").orderBy(closed, F.when(closed, F.col(order)).otherwise(-F.col(order))))
-    return branch_heads.withColumn("_r", rank).where("_r = 1").drop("_r")
+    rows = branch_heads.select("branch", F.struct(*branch_heads.columns).alias("_row"), F.struct(closed, F.when(closed, F.col(order)).otherwise(-F.col(order))).alias("_at"))
+    return rows.groupBy("branch").agg(F.min_by("_row", "_at").alias("_row")).select(*[F.col("_row")[c].alias(c) for c in branch_heads.columns])
 
 
 def branch_map(branch_heads: DataFrame) -> DataFrame:
@@ -45,6 +48,57 @@ def listing(nodes: DataFrame, edges: DataFrame, bookmarks: DataFrame | None = No
     return out.join(mapping.select(F.col("hg").alias("node"), F.col("git").alias("target")), "node", "left").select("ref", F.coalesce("target", F.lit("?")).alias("target"))
 
 
+#: How references are named by which kinds of them are listed (heads, tips, bookmarks); {b} is the branch, {n} the node or name.
+LAYOUTS = {
+    (True, True, True): {"heads": "refs/heads/branches/{b}/{n}", "tips": "refs/heads/branches/{b}/tip", "bookmarks": "refs/heads/bookmarks/{n}"},
+    (True, True, False): {"heads": "refs/heads/{b}/{n}", "tips": "refs/heads/{b}/tip"},
+    (True, False, True): {"heads": "refs/heads/branches/{b}/{n}", "bookmarks": "refs/heads/bookmarks/{n}"},
+    (True, False, False): {"heads": "refs/heads/{b}/{n}"},
+    (False, True, True): {"tips": "refs/heads/branches/{b}", "bookmarks": "refs/heads/bookmarks/{n}"},
+    (False, True, False): {"tips": "refs/heads/{b}"},
+    (False, False, True): {"bookmarks": "refs/heads/{n}"},
+}
+
+
+def ref_name(layout: str, branch: Column, name: Column) -> Column:
+    """A reference's name in a layout of LAYOUTS."""
+    parts = re.split(r"(\{[bn]\})", layout)
+    return F.concat(*[{"{b}": branch, "{n}": name}.get(p, F.lit(p)) for p in parts if p])
+
+
+def styled_listing(nodes: DataFrame, edges: DataFrame, bookmarks: DataFrame, kinds: set[str]) -> DataFrame:
+    """(ref, node) of the kinds ``heads``, ``tips`` and ``bookmarks`` that are asked for, in the layout that goes with them.
+
+    A head that is its branch's tip is not listed again among heads where tips are.
+    """
+    layout = LAYOUTS[tuple(k in kinds for k in ("heads", "tips", "bookmarks"))]
+    found = dag.branch_heads(nodes.select("rev", "branch"), edges).join(nodes.select("rev", "node", "closed"), "rev")
+    last = tips(found)
+    parts = []
+    if "heads" in layout:
+        listed = found.join(last.select("rev"), "rev", "left_anti") if "tips" in layout else found
+        parts.append(listed.select(ref_name(layout["heads"], F.col("branch"), F.col("node")).alias("ref"), "node"))
+    if "tips" in layout:
+        parts.append(last.select(ref_name(layout["tips"], F.col("branch"), F.col("node")).alias("ref"), "node"))
+    if "bookmarks" in layout:
+        parts.append(bookmarks.select(ref_name(layout["bookmarks"], F.lit(""), F.col("name")).alias("ref"), "node"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def clone_source(lines: DataFrame, graft: bool | None = None, known: DataFrame | None = None) -> DataFrame:
+    """(url, branch) of the first usable line (place, url, branch, graft) of a list of prepared repositories.
+
+    With ``graft`` True only lines with grafted commits count, with False only those without; with None either, the former
+    first. Lines with grafted commits that are not all in ``known`` (oid) are passed over.
+    """
+    is_graft = F.size("graft") > 0
+    rows = lines.where(is_graft if graft else ~is_graft) if graft is not None else lines
+    if known is not None:
+        lost = rows.select("place", F.explode("graft").alias("oid")).join(known.select("oid"), "oid", "left_anti").select("place")
+        rows = rows.join(lost, "place", "left_anti")
+    return rows.orderBy(~is_graft, "place").limit(1).select("url", "branch")
+
+
 def compare_and_set(refs: DataFrame, updates: DataFrame) -> DataFrame:
     """``refs`` (name, oid) after updates (name, old, new): a new NULL deletes; an update whose old value is not the present one fails."""
     held = updates.join(refs, "name", "left")
