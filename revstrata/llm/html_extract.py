@@ -76,12 +76,17 @@ def _declared_other(tag: str, raw: str, in_article: bool) -> str:
     return found
 
 
-def leaves_of(page: str) -> tuple[list[str], list[str], list[int], list[bool], list[tuple[tuple[str, int], ...]], list[tuple[int, ...]], dict[int, str]]:
-    """Text leaves in page order: text, path of block tags, block number, surely-other flag, words of maybe-other elements with their depth, containers; and each container's tag."""
+def leaves_of(page: str) -> tuple[list[str], list[int], list[int], list[bool], list[tuple[tuple[str, int], ...]], list[int], list[str], list[int]]:
+    """Text leaves in page order: text, number of its path of block tags, block number, surely-other flag, words of maybe-other elements with their depth, innermost container (-1: none); and each container's tag and parent.
+
+    Paths and containers are numbers with links to their parents, so that deeply nested pages take no more than linear space.
+    """
     texts, paths, blocks, others, maybes, inside = [], [], [], [], [], []
-    #: Tag, whether it opened a container, and for what is inside it: path, containers, surely other, maybe other, in an article.
-    stack: list[tuple[str, bool, str, tuple[int, ...], bool, tuple[tuple[str, int], ...], bool]] = [("", True, "", (), False, (), False)]
-    tags: dict[int, str] = {}
+    #: Tag, whether it opened a container, and for what is inside it: path, container, surely other, maybe other, in an article.
+    stack: list[tuple[str, bool, int, int, bool, tuple[tuple[str, int], ...], bool]] = [("", True, 0, -1, False, (), False)]
+    numbers: dict[tuple[int, str], int] = {}
+    tags: list[str] = []
+    parents: list[int] = []
     block, at, size = 0, 0, len(page)
     unclosed: set[str] = set()
 
@@ -166,16 +171,16 @@ def leaves_of(page: str) -> tuple[list[str], list[str], list[int], list[bool], l
             elif declared and len(maybe) < 50:  # in deeper ones the outer words decide
                 maybe = (*maybe, (declared, sum(w == declared for w, _ in maybe)))
             if tag in BLOCKS:
-                chain, path = (*chain, len(tags)), f"{path}/{tag}"
-                tags[len(tags)] = tag
+                parents.append(chain)
+                chain, path = len(tags), numbers.setdefault((path, tag), len(numbers) + 1)
+                tags.append(tag)
             stack.append((tag, tag in BLOCKS, path, chain, other, maybe, article or tag in ("article", "main")))
-    return texts, paths, blocks, others, maybes, inside, tags
+    return texts, paths, blocks, others, maybes, inside, tags, parents
 
 
-def path_scores(paths: list[str], lengths: np.ndarray, marks: np.ndarray) -> np.ndarray:
+def path_scores(paths: list[int], lengths: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """Each leaf's fused, smoothed ratio: characters and punctuation of its path a leaf of that path."""
-    number: dict[str, int] = {}
-    at = np.array([number.setdefault(p, len(number)) for p in paths])
+    at = np.unique(np.array(paths), return_inverse=True)[1]
     n = np.bincount(at)
     fused = np.sqrt((np.bincount(at, lengths) / n) * (1.0 + np.bincount(at, marks) / n))[at]
     kernel = np.exp(-0.5 * np.arange(-2, 3) ** 2)
@@ -200,13 +205,24 @@ def discarded(lengths: np.ndarray, content: np.ndarray, named: list[bool], maybe
     return drop if any(drop.isdisjoint(maybes[k]) for k in np.flatnonzero(content)) else set()
 
 
+def _inside_of(parents: list[int], chosen: set[int]) -> list[bool]:
+    """Of each container, and at the end of none, whether it is a chosen one or inside one."""
+    out = [False] * (len(parents) + 1)
+    for c, p in enumerate(parents):
+        out[c] = c in chosen or out[p]
+    return out
+
+
 def main_text(page: str | None, share: float = 0.5) -> str:
     """The main text of one page: blocks joined by an empty line; ``share`` of the scores' deviation is the threshold."""
     if not page:
         return ""
-    texts, paths, blocks, others, maybes, inside, tags = leaves_of(page)
+    texts, paths, blocks, others, maybes, inside, tags, parents = leaves_of(page)
     if not texts:
         return ""
+    in_article = [False] * (len(tags) + 1)  # the last is no container
+    for c, p in enumerate(parents):
+        in_article[c] = in_article[p] or tags[c] in ("article", "main")
     decoded = [html_lib.unescape(t) if "&" in t else t for t in texts]
     own = np.array([not o for o in others])
     lengths = np.array([len(t.strip()) for t in decoded], dtype=np.float64) * own
@@ -214,7 +230,7 @@ def main_text(page: str | None, share: float = 0.5) -> str:
     scores = path_scores(paths, lengths, marks)
     content = own & (lengths > 0) & (scores >= share * scores.std())
     if any(maybes):  # names are heard only after the ratios, then the rest is scored without what they discard
-        drop = discarded(lengths, content, [any(tags[c] in ("article", "main") for c in x) for x in inside], maybes)
+        drop = discarded(lengths, content, [in_article[c] for c in inside], maybes)
         own &= np.array([drop.isdisjoint(x) for x in maybes])
         others = [not o for o in own]
         lengths, marks = lengths * own, marks * own
@@ -222,31 +238,39 @@ def main_text(page: str | None, share: float = 0.5) -> str:
         content = own & (lengths > 0) & (scores >= share * scores.std())
     total = float(lengths[content].sum())
     root = -1
+    around: set[int] = set()
     if total:
-        held: dict[int, float] = {}
+        held = [0.0] * (len(tags) + 1)
         for k in np.flatnonzero(content):
-            for c in inside[k]:
-                held[c] = held.get(c, 0.0) + lengths[k]
-        named = [c for c in held if tags[c] in ("article", "main") and held[c] >= 0.5 * total]
+            held[inside[k]] += lengths[k]
+        for c in range(len(tags) - 1, -1, -1):  # a container's number is above its parent's
+            held[parents[c]] += held[c]
+        named = [c for c, t in enumerate(tags) if t in ("article", "main") and held[c] >= 0.5 * total]
         if named:
             root = max(named, key=lambda c: (held[c], -c))
         else:
-            root = max((c for c in held if held[c] >= 0.8 * total), default=-1)
+            root = max((c for c in range(len(tags)) if held[c] >= 0.8 * total), default=-1)
             while root >= 0 and tags[root] not in ("article", "main", "section", "div", "body", "html", "td", "blockquote"):
-                chain = next(x for x in inside if root in x)
-                root = chain[chain.index(root) - 1] if chain.index(root) else -1
+                root = parents[root]
     whole, alone = {root}, set()
     if root >= 0:
-        chain = next(x for x in inside if root in x)
-        around = set(chain[: chain.index(root)])
+        c = parents[root]
+        while c >= 0:
+            around.add(c)
+            c = parents[c]
+        below = _inside_of(parents, whole)
+        section = [-1] * (len(tags) + 1)  # each container's innermost section that does not hold the root
+        for c, p in enumerate(parents):
+            section[c] = c if tags[c] in SECTIONS and c not in around else section[p]
         for k in np.flatnonzero(content):
-            if root not in inside[k]:  # its innermost section, or its block alone where that would hold the root
+            if not below[inside[k]]:  # its innermost section, or its block alone where that would hold the root
                 alone.add(blocks[k])
-                whole.add(next((c for c in reversed(inside[k]) if tags[c] in SECTIONS and c not in around), root))
+                whole.add(section[inside[k]] if section[inside[k]] >= 0 else root)
+    below = _inside_of(parents, whole)
     out: list[str] = []
     last = None
     for t, b, o, x in zip(decoded, blocks, others, inside, strict=True):
-        if o or (root >= 0 and b not in alone and whole.isdisjoint(x)):
+        if o or (root >= 0 and b not in alone and not below[x]):
             continue
         if b == last:
             out[-1] += t

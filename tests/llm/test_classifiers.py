@@ -71,3 +71,46 @@ def test_temperature():
     logits = rnd.randn(4000, 3)
     labels = np.array([rnd.choice(3, p=q) for q in ftrl.probabilities(logits)])
     assert 0.85 < ftrl.temperature(logits, labels) < 1.15 and 2.5 < ftrl.temperature(3 * logits, labels) < 3.5
+
+
+def test_ftrl_against_a_plain_loop():
+    import math
+    import random
+
+    import numpy as np
+    from revstrata.llm import ftrl
+
+    rnd = random.Random(6)
+    p = ftrl.Penalty(alpha=0.7, beta=1.0, l1=0.05, l2=0.2, counterfactual=2.0)
+    rows = []
+    for _ in range(60):
+        at = sorted(rnd.sample(range(8), 3))
+        rows.append((np.array(at), np.array([rnd.random() for _ in at]) if rnd.random() < 0.5 else np.ones(3), int(0 in at), np.array(sorted(rnd.sample(range(8), 3))) if rnd.random() < 0.4 else None))
+    z, n = np.zeros((1, 9)), np.zeros((1, 9))
+    ftrl.run(rows, z, n, p, 2)
+
+    zs, ns = [0.0] * 9, [0.0] * 9
+
+    def weight(k, l1=p.l1, l2=p.l2):
+        return 0.0 if abs(zs[k]) <= l1 else -(zs[k] - math.copysign(l1, zs[k])) / ((p.beta + math.sqrt(ns[k])) / p.alpha + l2)
+
+    def update(k, g, w):
+        zs[k] += g - (math.sqrt(ns[k] + g * g) - math.sqrt(ns[k])) / p.alpha * w
+        ns[k] += g * g
+
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    for _ in range(2):
+        for at, x, y, other in rows:
+            w, b = {k: weight(k) for k in at}, weight(8, 0.0, 0.0)
+            error = sigmoid(sum(w[k] * v for k, v in zip(at, x)) + b) - y
+            for k, v in zip(at, x):
+                update(k, error * v, w[k])
+            update(8, error, b)
+            if other is not None:
+                both = sorted({*at, *other})
+                w = {k: weight(k) for k in both}
+                q1, q2 = sigmoid(sum(w[k] for k in at) + b), sigmoid(sum(w[k] for k in other) + b)
+                pull = 2 * p.counterfactual * (q1 - q2)
+                for k in both:
+                    update(k, pull * q1 * (1 - q1) * (k in at) - pull * q2 * (1 - q2) * (k in other), w[k])
+    assert np.allclose(z[0], zs) and np.allclose(n[0], ns)

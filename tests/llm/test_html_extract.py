@@ -59,3 +59,27 @@ def test_unclosed_embedded_elements():
         for page in (f"<body><div><{tag}><g>x</g></div><div>{BODY}</div></body>", f"<body><{tag} a='b'>fallback{BODY}<p>More <{tag}>y</p>{BODY}</body>"):
             got = H.main_text(page)
             assert got.endswith("at length.") and "A first paragraph" in got and "fallback" not in got and "x" not in got.split(), tag
+
+
+def test_nesting_is_linear():
+    import time
+
+    began = time.time()
+    got = H.main_text("<div>word, " * 90_000)  # 1 MB
+    assert got.count("word,") == 90_000 and time.time() - began < 20
+
+
+def test_path_scores_against_a_loop():
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    for n in (1, 4, 5, 40):
+        paths, lengths, marks = rnd.integers(0, 5, n).tolist(), rnd.integers(0, 90, n).astype(float), rnd.integers(0, 9, n).astype(float)
+        of = lambda k, x: sum(x[j] for j in range(n) if paths[j] == paths[k]) / paths.count(paths[k])
+        fused = [(of(k, lengths) * (1 + of(k, marks))) ** 0.5 for k in range(n)]
+        want = []
+        for k in range(n):
+            near = [(j, np.exp(-0.5 * (j - k) ** 2)) for j in range(max(0, k - 2), min(n, k + 3))] if n >= 5 else [(k, 1.0)]
+            weight = sum(w * lengths[j] for j, w in near)
+            want.append(sum(w * lengths[j] * fused[j] for j, w in near) / weight if weight > 0 else 0.0)
+        assert np.allclose(H.path_scores(paths, lengths, marks), want)
