@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import difflib
 import struct
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,20 +13,73 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Lines of old times lines of new up to which a stretch is compared line by line.
+DENSE = 250_000
+
+
+def _lines(text: bytes) -> list[bytes]:
+    """Lines with their line feeds; nothing else ends a line."""
+    out = [x + b"\n" for x in text.split(b"\n")]
+    out[-1] = out[-1][:-1]
+    return out if out[-1] else out[:-1]
+
+
+def _anchors(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs of places of lines that occur once in either, rising in both: the longest such sequence."""
+    once_a, twice_a, twice_b = {x: k for k, x in enumerate(a)}, Counter(a), Counter(b)
+    tails: list[int] = []
+    ends: list[int] = []
+    before: list[int] = []
+    pairs = [(once_a[x], k) for k, x in enumerate(b) if twice_b[x] == 1 and twice_a.get(x) == 1]
+    for n, (i, _) in enumerate(pairs):
+        k = bisect_left(tails, i)
+        before.append(ends[k - 1] if k else -1)
+        tails[k : k + 1], ends[k : k + 1] = [i], [n]
+    out, n = [], ends[-1] if ends else -1
+    while n >= 0:
+        out.append(pairs[n])
+        n = before[n]
+    return out[::-1]
+
+
 def line_hunks(old: bytes, new: bytes) -> list[tuple[int, int, bytes]]:
-    """(start, end, replacement) in bytes of ``old``, at line ends, in order; applying them gives ``new``."""
-    a, b = old.splitlines(keepends=True), new.splitlines(keepends=True)
-    head = 0
-    while head < min(len(a), len(b)) and a[head] == b[head]:
-        head += 1
-    tail = 0
-    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
-        tail += 1
+    """(start, end, replacement) in bytes of ``old``, at line ends, in order; applying them gives ``new``.
+
+    Long texts are cut at lines that occur once in both, so that the work does not grow with the square of their lines; a long
+    stretch without any is replaced as a whole.
+    """
+    a, b = _lines(old), _lines(new)
     at = [0]
     for line in a:
         at.append(at[-1] + len(line))
-    middle = difflib.SequenceMatcher(None, a[head : len(a) - tail], b[head : len(b) - tail], autojunk=False).get_opcodes()
-    return [(at[head + i1], at[head + i2], b"".join(b[head + j1 : head + j2])) for tag, i1, i2, j1, j2 in middle if tag != "equal"]
+    out: list[tuple[int, int, bytes]] = []
+
+    def between(i1: int, i2: int, j1: int, j2: int, cut: bool = True) -> None:
+        while i1 < i2 and j1 < j2 and a[i1] == b[j1]:
+            i1, j1 = i1 + 1, j1 + 1
+        while i1 < i2 and j1 < j2 and a[i2 - 1] == b[j2 - 1]:
+            i2, j2 = i2 - 1, j2 - 1
+        if i1 == i2 and j1 == j2:
+            return
+        if i1 == i2 or j1 == j2:
+            out.append((at[i1], at[i2], b"".join(b[j1:j2])))
+        elif (i2 - i1) * (j2 - j1) <= DENSE:
+            for tag, x1, x2, y1, y2 in difflib.SequenceMatcher(None, a[i1:i2], b[j1:j2], autojunk=False).get_opcodes():
+                if tag != "equal":
+                    out.append((at[i1 + x1], at[i1 + x2], b"".join(b[j1 + y1 : j1 + y2])))
+        else:
+            pairs = _anchors(a[i1:i2], b[j1:j2]) if cut else []
+            if not pairs:
+                out.append((at[i1], at[i2], b"".join(b[j1:j2])))
+                return
+            x, y = i1, j1
+            for i, j in pairs:
+                between(x, i1 + i, y, j1 + j, False)
+                x, y = i1 + i + 1, j1 + j + 1
+            between(x, i2, y, j2, False)
+
+    between(0, len(a), 0, len(b))
+    return out
 
 
 def byte_hunks(old: bytes, new: bytes) -> list[tuple[int, int, bytes]]:

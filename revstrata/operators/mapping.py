@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from revstrata.functions.identity import NULL_ID, shared_prefix
 
-#: Leading nibbles that abbreviations and identifiers are joined by; shorter abbreviations are spread over all that fit.
-JOIN_NIBBLES = 3
-
 
 def lookup(wanted: DataFrame, mapping: DataFrame, key: str, value: str) -> DataFrame:
     """``wanted`` with the mapped value; NULL where the key is unknown."""
@@ -24,20 +21,17 @@ def convert(wanted: DataFrame, mapping: DataFrame, key: str, value: str, abbrev:
 def resolve_abbreviations(prefixes: DataFrame, mapping: DataFrame, prefix: str, key: str, value: str) -> DataFrame:
     """(prefix, key, value) of abbreviations that fit exactly one key; NULLs for those that fit none or more.
 
-    A prefix join on equal leading nibbles: an abbreviation shorter than these is joined by each of its completions.
+    Keys are counted by their beginnings of the lengths that abbreviations have (41 at most), kept to those that are asked
+    for, and joined by equality: the work is the keys times the lengths, however many keys a short abbreviation fits.
     """
-    digits = F.array(*[F.lit(c) for c in "0123456789abcdef"])
-    short = F.lower(F.col(prefix))
-    spread = short.alias("_at")
-    rows = prefixes.select(prefix).distinct().withColumn("_at", spread)
-    for n in range(JOIN_NIBBLES):
-        grown = F.when(F.length("_at") <= n, F.transform(digits, lambda d: F.concat(F.col("_at"), d))).otherwise(F.array(F.col("_at")))
-        rows = rows.withColumn("_at", F.explode(grown))
-    rows = rows.withColumn("_at", F.substring("_at", 1, JOIN_NIBBLES))
-    keys = mapping.select(key, value, F.substring(key, 1, JOIN_NIBBLES).alias("_at"))
-    fits = rows.join(keys, "_at").where(F.startswith(F.col(key), F.lower(F.col(prefix))))
-    unique = fits.groupBy(prefix).agg(F.count("*").alias("_n"), F.min(key).alias(key), F.min_by(value, key).alias(value)).where("_n = 1").drop("_n")
-    return prefixes.join(unique, prefix, "left")
+    asked = prefixes.select(F.lower(F.col(prefix)).alias("_at")).where("_at IS NOT NULL").distinct()
+    lengths = sorted(r[0] for r in asked.select(F.length("_at")).distinct().collect() if r[0] <= 40)
+    if not lengths:
+        return prefixes.select(prefix, *[c for c in prefixes.columns if c != prefix], F.lit(None).cast("string").alias(key), F.lit(None).cast(dict(mapping.dtypes)[value]).alias(value))
+    begun = mapping.select(key, value, F.explode(F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.substring(F.col(key), F.lit(1), n))).alias("_at"))
+    fits = begun.join(asked, "_at", "left_semi").groupBy("_at").agg(F.count("*").alias("_n"), F.min(key).alias(key), F.min_by(value, key).alias(value))
+    rows = prefixes.withColumn("_at", F.lower(F.col(prefix)))
+    return rows.join(fits.where("_n = 1").drop("_n"), "_at", "left").drop("_at")
 
 
 def shortest_abbreviations(ids: DataFrame, key: str, least: int = 4) -> DataFrame:

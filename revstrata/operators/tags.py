@@ -12,9 +12,10 @@ def tags_in_file(lines: DataFrame, file: str = "file", tag: str = "tag", line: s
     A NULL node marks a deleted tag.
     """
     marked = F.coalesce(node, F.lit(""))
-    rows = lines.groupBy(file, tag).agg(F.array_sort(F.collect_list(F.struct(F.col(line).alias("line"), marked.alias("node")))).alias("_l"))
-    nodes = F.col("_l.node")
-    return rows.select(file, tag, F.element_at(nodes, -1).alias("node"), F.array_sort(F.array_distinct(F.slice(nodes, F.lit(1), F.size(nodes) - 1))).alias("hist"))
+    nodes = lines.groupBy(file, tag, marked.alias("_node")).agg(F.min(line).alias("_first"), F.max(line).alias("_last"))  # so a row holds distinct nodes only
+    rows = nodes.groupBy(file, tag).agg(F.max_by("_node", "_last").alias("node"), F.max("_last").alias("_end"), F.collect_list(F.struct("_node", "_first")).alias("_l"))
+    before = F.filter("_l", lambda x: x["_first"] < F.col("_end"))
+    return rows.select(file, tag, "node", F.array_sort(F.transform(before, lambda x: x["_node"])).alias("hist"))
 
 
 def _fold(held: Column, came: Column) -> Column:
