@@ -118,9 +118,9 @@ def _placed(rows: DataFrame, runs: DataFrame, key: str = "rev") -> DataFrame:
     return rows.join(at, key, "left").withColumn("run", F.coalesce("run", key)).withColumn("pos", F.coalesce("pos", F.lit(0)))
 
 
-def _closure(edges: DataFrame, starts: DataFrame, here: str, there: str, follow: DataFrame | None) -> DataFrame:
+def _closure(edges: DataFrame, starts: DataFrame, here: str, there: str, follow: DataFrame | None, contracted: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     used = edges if follow is None else edges.join(follow.select(F.col("rev").alias(here)), here, "left_semi")
-    runs, between = _runs(used, here, there)
+    runs, between = contracted or _runs(used, here, there)
     entered = _cut(_placed(starts.select("rev").distinct(), runs).groupBy("run").agg(F.max("pos").alias("upto")))
     frontier, whole = entered.select("run"), _Parts(entered.select("run").limit(0))
     while not frontier.isEmpty():
@@ -150,7 +150,9 @@ def descendants(nodes: DataFrame, edges: DataFrame, starts: DataFrame, follow: D
 
 def rev_range(nodes: DataFrame, edges: DataFrame, include: DataFrame, exclude: DataFrame) -> DataFrame:
     """Ancestors of ``include`` less ancestors of ``exclude``."""
-    return ancestors(nodes, edges, include).join(ancestors(nodes, edges, exclude), "rev", "left_anti")
+    contracted = _runs(edges, "child", "parent")
+    up = [_closure(edges, x.join(nodes, "rev", "left_semi"), "child", "parent", None, contracted) for x in (include, exclude)]
+    return up[0].join(up[1], "rev", "left_anti")
 
 
 def boundary(edges: DataFrame, inside: DataFrame) -> DataFrame:
@@ -310,16 +312,16 @@ def discover(nodes: DataFrame, edges: DataFrame, remote: DataFrame, sample: int
     and seeded others of what is open, ``sample`` nodes in all. The result is that of :func:`common_heads`.
     """
     open_, known = nodes.select("rev"), nodes.select("rev").limit(0)
-    turn = 0
+    up, down, turn = _runs(edges, "child", "parent"), _runs(edges, "parent", "child"), 0
     while not open_.isEmpty():
         order = F.xxhash64("rev", F.lit(seed + turn))
         tops = heads(open_, edges).select("rev", F.lit(0).alias("kind"))
         bottoms = roots(open_, edges).select("rev", F.lit(1).alias("kind"))
         asked = tops.unionAll(bottoms).unionAll(open_.select("rev", F.lit(2).alias("kind"))).groupBy("rev").agg(F.min("kind").alias("kind"))
         asked = _cut(asked.orderBy("kind", order).limit(sample).select("rev"))
-        yes = ancestors(open_, edges, asked.join(remote, "rev", "left_semi"))
-        no = descendants(open_, edges, asked.join(remote, "rev", "left_anti"))
-        known = _cut(known.unionAll(yes))
+        yes = _closure(edges, asked.join(remote, "rev", "left_semi"), "child", "parent", None, up)
+        no = _closure(edges, asked.join(remote, "rev", "left_anti"), "parent", "child", None, down)
+        known = _cut(known.unionAll(yes.join(open_, "rev", "left_semi")))
         open_ = _cut(open_.join(yes, "rev", "left_anti").join(no, "rev", "left_anti"))
         turn += 1
     return heads(known, edges)

@@ -121,7 +121,7 @@ def history_rewrite(spark, d):
   SELECT rev FROM b WHERE rev NOT IN (SELECT parent FROM edges WHERE child IN (SELECT rev FROM b))""")
 def discovery(spark, d):
     n, e = views.graph(spark, d)
-    return dag.discover(n, e, dag.ancestors(n, e, n.where("branch = '1-URGENT'")), sample=2_000)
+    return dag.discover(n, e, dag.ancestors(n, e, n.where("branch = '1-URGENT'")), sample=4_000)
 
 
 # Manifests and trees ---------------------------------------------------------------------------
