@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from revstrata.functions import authorship, text
-from revstrata.operators import changesets, dag, history, integrity, objects, refs, store, tags
+from revstrata.functions import authorship, identity, text
+from revstrata.operators import changesets, dag, history, integrity, objects, refs, snapshots, store, tags
 from revstrata.plans import views
 from revstrata.plans.catalog import query
 from revstrata.plans.views import DAG_SQL, ENTRIES_SQL, MAPPING_SQL
@@ -404,3 +404,44 @@ def ref_styles(spark, d):
         rows = refs.styled_listing(n, e, marks, kinds).select(F.lit(style).alias("style"), "ref", "node")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 3 THEN NULL WHEN o_orderkey % 2 = 0 THEN sha1('a') ELSE sha1('a') || ' ' || sha1('b') END AS parents FROM orders")
+def file_parents(spark, d):
+    k = F.col("o_orderkey")
+    p1, p2 = F.sha1(F.lit("a")), F.sha1(F.lit("b"))
+    node = F.when(k % 7 == 3, F.sha1(F.lit("no"))).when(k % 2 == 0, objects.node_hash(p1, F.lit(None).cast("string"), F.col("content"))).otherwise(objects.node_hash(p1, p2, F.col("content")))
+    rows = load(spark, d, "orders").select(k, F.col("o_orderpriority").alias("content")).withColumn("node", node)
+    return rows.select("o_orderkey", F.array_join(identity.file_parents(F.col("node"), p1, p2, F.col("content")), " ").alias("parents"))
+
+
+@query("SELECT n_nationkey, n_name AS name, 'a b/' || n_nationkey AS value, 'a%20b/' || n_nationkey AS quoted FROM nation")
+def capabilities(spark, d):
+    """Capabilities with a value each, encoded and decoded."""
+    line = text.encode_capabilities(F.create_map(F.col("n_name"), F.array(F.concat(F.lit("a b/"), text_of("n_nationkey")))))
+    rows = load(spark, d, "nation").select("n_nationkey", line.alias("line"))
+    return rows.select("n_nationkey", F.explode(text.decode_capabilities(F.col("line"))).alias("name", "values"), F.substring_index("line", "=", -1).alias("quoted")).select(
+        "n_nationkey", "name", F.get("values", F.lit(0)).alias("value"), "quoted"
+    )
+
+
+@query("SELECT sha1(CAST(o_orderkey AS VARCHAR)) AS snapshot_id, ((SELECT max(o_orderkey) FROM orders) - o_orderkey)::INT AS step, CASE WHEN o_orderkey % 3 = 0 THEN 'checked' ELSE '' END AS status FROM orders")
+def rollback_candidates(spark, d):
+    o = load(spark, d, "orders").select("o_orderkey")
+    of = lambda k: F.sha1(k.cast("string"))
+    k = F.col("o_orderkey")
+    chain = o.select(of(k).alias("snapshot_id"), F.when(k > 0, of(k - 1)).alias("prev_id"), F.when(k % 3 == 0, "checked").otherwise("").alias("status"))
+    return snapshots.candidates(chain, o.agg(F.max("o_orderkey").alias("o_orderkey")).select(of(k).alias("snapshot_id")))
+
+
+@query(f"WITH {DAG_SQL} SELECT rev, branch FROM nodes")
+def unique_nodes(spark, d):
+    return dag.assert_unique(views.nodes(spark, d)).select("rev", "branch")
+
+
+@query("""SELECT o_orderkey AS rev, o_orderkey AS graft FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey, o_orderpriority) = 1""")
+def strict_grafts(spark, d):
+    """Changesets grafted to commits of the same tree, time and parents; those that share all of these with others are not."""
+    o = load(spark, d, "orders").select(F.col("o_orderkey").alias("rev"), F.col("o_custkey").alias("tree"), F.lit(1).alias("ts"), F.array("o_orderpriority").alias("parents"), F.lit("s").alias("subject"), F.lit("a").alias("author"))
+    commits = o.withColumn("commit", F.col("rev")).withColumn("own", F.lit(True)).drop("rev")
+    return changesets.graft(o, commits, strict=True).where("commit IS NOT NULL").select("rev", F.col("commit").alias("graft"))
