@@ -9,6 +9,7 @@ inner products in double precision on the original vectors throughout.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ from revstrata.llm.common import release, ship, written
 DEGREE, PIVOTS, NEAR, BLOCK = 30, 1024, 6, 400
 FRESH, OLD, PROPOSE = 15, 12, 8
 WIDTH, STEP_NODES, ENTRIES = 96, 32, 3
+LOG = logging.getLogger(__name__)
 
 
 def _matrix(column: pd.Series, kind: str) -> np.ndarray:
@@ -147,6 +149,8 @@ def build(nodes: DataFrame, kind: str, pivots: np.ndarray, rounds: int = 4, enou
         edges, fresh = graph.agg(F.count("*"), F.sum(F.col("fresh").cast("int"))).first()
         if (fresh or 0) <= enough * edges:
             break
+    else:
+        LOG.warning("ann: after %d rounds %.1f %% of the graph's edges are still new", rounds, 100.0 * (fresh or 0) / max(1, edges))
     return graph.select("u", "v", "s")
 
 
@@ -198,6 +202,10 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: str, pi
             break
         new = going.join(near, going.node == near.u).select("query_id", F.explode("near").alias("node")).distinct().join(state, ["query_id", "node"], "left_anti")
         state = ranked(state.select("query_id", "node", "score", (F.col("seen") | F.col("_go")).alias("seen")).unionByName(scored(new)))
+    else:
+        open_ = state.where("_go").select("query_id").distinct().count()
+        if open_:
+            LOG.warning("ann: after %d steps the walks of %d queries had not ended", steps, open_)
     return state.where(F.col("_r") <= width).select("query_id", "node", "score")
 
 

@@ -103,7 +103,7 @@ def short_cells(drawn: DataFrame) -> DataFrame:
 def calibrate(
     docs: DataFrame, topic: Column | None = None, power: float = 0.7, targets: dict[str, DataFrame] | None = None, budget: float = 1.0, seed: int = 17, capped: bool = False
 ) -> DataFrame:
-    """``docs`` with the columns topic, n_tokens, weight, probability and sampled.
+    """``docs`` with the columns topic, n_tokens, weight, probability and sampled; columns of these names are replaced.
 
     Tokens are words between white space. ``targets`` replaces tempered targets for the margins it names.
     ``budget`` bounds the expected share of tokens that is drawn. With ``capped`` probabilities are the weights cut at

@@ -249,7 +249,7 @@ def encode(docs: DataFrame, model: str = MODEL, size: int = DICTIONARY) -> DataF
     """``docs`` with ids (array<int>), n_pieces (long) and lossless (the ids decode to the text).
 
     A null or empty text has no ids. A text that holds the word mark itself decodes to one with spaces, and so is not
-    lossless. Other columns stay; repeated rows have equal results.
+    lossless. Other columns stay, but columns named ids, n_pieces or lossless are replaced; repeated rows have equal results.
     """
     spark: SparkSession = docs.sparkSession
     pieces = load_pieces(model)
