@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product: NN-descent and greedy graph search.
 
 Equal vectors are one node. The graph starts with each node's best neighbours inside blocks of nodes that share a
-pivot (a bounded sample of nodes), and is improved by NN-descent: in each round a join brings a sample of every
+pivot (a bounded sample of nodes; what gathers at one pivot is split among pivots of its own, until blocks are small),
+and is improved by NN-descent: in each round a join brings a sample of every
 node's neighbours and reverse neighbours together, where they are scored with each other; each node keeps the best.
 Queries walk the graph: each step is a join of the best nodes not yet looked at with their neighbours. Scores are
 inner products in double precision on the original vectors throughout.
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from revstrata.llm.common import release, ship, written
 
 DEGREE, PIVOTS, NEAR, BLOCK = 30, 1024, 6, 400
+#: Pivots that a large cell is split by at once, rows of it in a task, and levels of splits.
+FANOUT, SLICE, LEVELS = 64, 4000, 8
 FRESH, OLD, PROPOSE = 15, 12, 8
 WIDTH, STEP_NODES, ENTRIES = 96, 32, 3
 LOG = logging.getLogger(__name__)
@@ -65,6 +68,37 @@ def pivots_of(nodes: DataFrame, kind: str, most: int = PIVOTS) -> tuple[np.ndarr
     return picked["node"].to_numpy(dtype=np.int64), _matrix(picked["vec"], kind) if len(picked) else np.zeros((0, 1))
 
 
+def split(cells: DataFrame, kind: str, block: int = BLOCK) -> DataFrame:
+    """``cells`` (node, vec, cell) with cells of more than 2 * ``block`` nodes split again and again.
+
+    A large cell is split by up to FANOUT of its own nodes, each node going to the nearest of these by distance, so that cells
+    stay about as small however many nodes there are. A cell is worked on in slices of about SLICE nodes. What is still large
+    after LEVELS levels (vectors that no pivots tell apart) stays so.
+    """
+
+    def nearest_pivot(members: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        pivots = pivots.sort_values("number")
+        p = _matrix(pivots["vec"], kind)
+        scores = _matrix(members["vec"], kind) @ p.T - (p * p).sum(axis=1) / 2
+        return members[["node", "vec", "cell"]].assign(number=pivots["number"].to_numpy()[scores.argmax(axis=1)])
+
+    for _ in range(LEVELS):
+        sizes = cells.groupBy("cell").agg(F.count("*").alias("n"))
+        large = written(sizes.where(F.col("n") > 2 * block).select("cell", F.least(F.ceil(F.col("n") / block), F.lit(FANOUT)).alias("fan"), F.ceil(F.col("n") / SLICE).alias("slices")), "large")
+        if large.isEmpty():
+            break
+        order = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("node", "cell"), "node"))
+        members = cells.join(large, "cell")
+        pivots = members.withColumn("number", order).where(F.col("number") <= FANOUT).where(F.col("number") <= F.col("fan"))
+        pivots = written(pivots.select("cell", "vec", "number", "slices"), "cell-pivots")
+        pivots = pivots.select("cell", "vec", "number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
+        members = members.withColumn("slice", F.pmod(F.xxhash64("node", F.lit(7)), F.col("slices")))
+        dealt = members.groupBy("cell", "slice").cogroup(pivots.groupBy("cell", "slice")).applyInPandas(nearest_pivot, "node long, vec binary, cell long, number int")
+        again = dealt.select("node", "vec", F.xxhash64("cell", "number").alias("cell"))
+        cells = written(cells.join(large, "cell", "left_anti").select("node", "vec", "cell").unionAll(again), "cells")
+    return cells
+
+
 def start_graph(nodes: DataFrame, kind: str, pivots: np.ndarray, degree: int = DEGREE, near: int = NEAR) -> DataFrame:
     """(u, v, s, fresh): each node's best neighbours among blocks of about BLOCK nodes with a pivot in common."""
     held = nodes.sparkSession.sparkContext.broadcast(pivots)
@@ -76,7 +110,7 @@ def start_graph(nodes: DataFrame, kind: str, pivots: np.ndarray, degree: int = D
                 scores = _matrix(part["vec"], kind) @ held.value.T
                 top = np.argsort(-scores, axis=1, kind="stable")[:, :near]
                 for k in range(top.shape[1]):
-                    yield pd.DataFrame({"node": part["node"].to_numpy(), "vec": part["vec"].to_numpy(), "pivot": top[:, k]})
+                    yield pd.DataFrame({"node": part["node"].to_numpy(), "vec": part["vec"].to_numpy(), "cell": top[:, k]})
 
     def inside(group: pd.DataFrame) -> pd.DataFrame:
         ids, x = group["node"].to_numpy(), _matrix(group["vec"], kind)
@@ -86,10 +120,10 @@ def start_graph(nodes: DataFrame, kind: str, pivots: np.ndarray, degree: int = D
         top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
         return pd.DataFrame({"u": np.repeat(ids, k), "v": ids[top].ravel(), "s": np.take_along_axis(scores, top, 1).ravel()})
 
-    cells = written(nodes.mapInPandas(assign, "node long, vec binary, pivot int"), "cells")
-    blocks = cells.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))  # at most PIVOTS rows
-    dealt = cells.join(F.broadcast(blocks), "pivot").withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
-    edges = dealt.groupBy("pivot", "block").applyInPandas(inside, "u long, v long, s double")
+    cells = split(written(nodes.mapInPandas(assign, "node long, vec binary, cell long"), "cells"), kind)
+    blocks = cells.groupBy("cell").agg(F.ceil(F.count("*") / (2 * BLOCK)).alias("blocks"))
+    dealt = cells.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
+    edges = dealt.groupBy("cell", "block").applyInPandas(inside, "u long, v long, s double")
     return written(_best(edges.withColumn("fresh", F.lit(True)), degree), "graph")
 
 
@@ -140,7 +174,7 @@ def improve(graph: DataFrame, nodes: DataFrame, kind: str, round_number: int, de
     return written(_best(kept.unionByName(found), degree), "graph")
 
 
-def build(nodes: DataFrame, kind: str, pivots: np.ndarray, rounds: int = 4, enough: float = 0.01, degree: int = DEGREE) -> DataFrame:
+def build(nodes: DataFrame, kind: str, pivots: np.ndarray, rounds: int = 10, enough: float = 0.01, degree: int = DEGREE) -> DataFrame:
     """The neighbour graph (u, v, s); rounds end when less than ``enough`` of its edges are new."""
     graph = start_graph(nodes, kind, pivots, degree)
     for k in range(rounds):
@@ -209,7 +243,7 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: str, pi
     return state.where(F.col("_r") <= width).select("query_id", "node", "score")
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, **how) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, most_pivots: int = PIVOTS, **how) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vec_id divisible by ``every`` its ``k`` nearest other rows.
 
     All rows are indexed. Nodes found are spread to their ``k`` + 1 smallest ids, which holds every id that can be among the
@@ -217,7 +251,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, **how) -> DataFram
     """
     rows, kind = usable(vectors)
     nodes = written(rows.where(F.col("vec_id") == F.col("node")).select("node", "vec"), "graph-nodes")
-    ids, pivots = pivots_of(nodes, kind)
+    ids, pivots = pivots_of(nodes, kind, most_pivots)
     queries = written(rows.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "node", "vec"), "queries")
     found = search(queries, build(nodes, kind, pivots, **how), nodes, kind, ids, pivots)
     members = rows.withColumn("_k", F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))).where(F.col("_k") <= k + 1).select("node", "vec_id")
