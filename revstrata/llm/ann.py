@@ -24,7 +24,7 @@ DEGREE, PIVOTS, NEAR, BLOCK = 30, 1024, 6, 400
 #: Pivots that a large cell is split by at once, rows of it in a task, and levels of splits.
 FANOUT, SLICE, LEVELS = 64, 4000, 8
 FRESH, OLD, PROPOSE = 15, 12, 8
-WIDTH, STEP_NODES, ENTRIES = 96, 32, 3
+WIDTH, STEP_NODES, ENTRIES = 192, 64, 3
 LOG = logging.getLogger(__name__)
 
 
@@ -174,7 +174,7 @@ def improve(graph: DataFrame, nodes: DataFrame, kind: str, round_number: int, de
     return written(_best(kept.unionByName(found), degree), "graph")
 
 
-def build(nodes: DataFrame, kind: str, pivots: np.ndarray, rounds: int = 10, enough: float = 0.01, degree: int = DEGREE) -> DataFrame:
+def build(nodes: DataFrame, kind: str, pivots: np.ndarray, rounds: int = 10, enough: float = 0.02, degree: int = DEGREE) -> DataFrame:
     """The neighbour graph (u, v, s); rounds end when less than ``enough`` of its edges are new."""
     graph = start_graph(nodes, kind, pivots, degree)
     for k in range(rounds):
@@ -196,7 +196,7 @@ def _dot(a: Column, b: Column, kind: str) -> Column:
     return F.pandas_udf(of, "double")(a, b)
 
 
-def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: str, pivot_ids: np.ndarray, pivots: np.ndarray, width: int = WIDTH, steps: int = 12) -> DataFrame:
+def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: str, pivot_ids: np.ndarray, pivots: np.ndarray, width: int = WIDTH, steps: int = 24) -> DataFrame:
     """(query_id, node, score): the ``width`` best nodes that a greedy walk finds for each of ``queries`` (query_id, vec).
 
     Walks begin at the nearest pivots, and at the query's own node where it has one (column ``node``). A step looks at
