@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstrata.llm import ann, chat, fingerprints, html_extract, jaccard, langid, mixing, sentencepiece_lattice, token_scan, toxicity
+from revstrata.llm import alignment, ann, centroids, chat, fingerprints, html_extract, jaccard, langid, licences, mixing, sentencepiece_lattice, token_scan, toxicity
 from revstrata.tables import load
 
 
@@ -82,6 +82,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of the byte-level and of the piece vocabulary, aligned, with the counts of their links over all documents."""
+    return alignment.align(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence phrases and the labels of the licence notices that it holds."""
+    found = licences.scan(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.array_sort(F.array_distinct(F.col("phrases.label")))
+    return found.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min("phrases.start").alias("first_word"),
+        F.array_max("phrases.start").alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.col("spans.label"))), ",").alias("labels"),
+        F.col("best_share").alias("score"),
+    )
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 components in 16 clusters after three rounds."""
+    return centroids.cluster(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 OP5_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -120,6 +146,27 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach r ON r.a = d.doc_id G
 """
 
 
+def op13_sql(k: int = 16, dims: int = 64, rounds: int = 3) -> str:
+    """Every vector against every centroid, in integers, round by round."""
+    near = """near{t} AS MATERIALIZED (SELECT row, arg_min(number, (d, number)) AS number, min(d) AS d FROM (
+    SELECT x.row, c.number, sum((x.v - c.v) * (x.v - c.v)) AS d FROM parts x JOIN centroids{t} c USING (dim) GROUP BY 1, 2) GROUP BY row)"""
+    moved = """centroids{n} AS MATERIALIZED (SELECT c.number, c.dim, coalesce(m.v, c.v) AS v FROM centroids{t} c LEFT JOIN (
+    SELECT number, dim, floor(sum(v) / count(*))::BIGINT AS v FROM parts JOIN near{t} USING (row) GROUP BY 1, 2) m USING (number, dim))"""
+    steps = [near.format(t=t) + ",\n" + moved.format(t=t, n=t + 1) for t in range(rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({dims} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}
+), parts AS MATERIALIZED (SELECT row, unnest(v) AS v, generate_subscripts(v, 1) AS dim FROM kept
+), first AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS number, v FROM kept QUALIFY number < {k}
+), centroids0 AS MATERIALIZED (SELECT number, unnest(v) AS v, generate_subscripts(v, 1) AS dim FROM first
+), {", ".join([*steps, near.format(t=rounds)])}
+SELECT vec_id, number::INT AS cluster, d::BIGINT AS distance, sum(d) OVER (PARTITION BY number)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM near{rounds} JOIN kept USING (row)
+JOIN (SELECT number, sha256(string_agg(v::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM centroids{rounds} GROUP BY number) USING (number)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extract": op1_html_extract,
@@ -132,8 +179,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
+        "op11_alignment": op11_alignment,
+        "op12_licences": op12_licences,
+        "op13_centroids": op13_centroids,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL, "op6_ngram_jaccard": OP6_SQL}
+    return {"op5_chat_format": OP5_SQL, "op6_ngram_jaccard": OP6_SQL, "op13_centroids": op13_sql()}
