@@ -5,9 +5,13 @@ Identifiers are lower-case hex strings, whose order is the order of their bytes;
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from revstrata.shipping import ship
+
 NULL_ID = "0" * 40
 
 
@@ -26,6 +30,11 @@ def node_hash(p1: Column, p2: Column, data: Column) -> Column:
     return F.sha1(F.concat(F.unhex(F.least(a, b)), F.unhex(F.greatest(a, b)), data.cast("binary")))
 
 
+def node_of(p1: str | None, p2: str | None, data: bytes | None) -> str:
+    """:func:`node_hash` of plain values, for use inside tasks; no content is empty content."""
+    return hashlib.sha1(b"".join(sorted(bytes.fromhex(p or NULL_ID) for p in (p1, p2))) + (data or b"")).hexdigest()
+
+
 def object_id(kind: Column, body: Column) -> Column:
     """sha1 of ``kind size NUL body``: the identifier of a blob, tree or commit."""
     raw = body.cast("binary")
@@ -54,3 +63,5 @@ def shared_prefix(a: Column, b: Column) -> Column:
     """How many leading nibbles two identifiers have in common; 0 with a NULL."""
     return F.coalesce(F.size(F.filter(F.sequence(F.lit(1), F.lit(40)), lambda k: F.substring(a, F.lit(1), k) == F.substring(b, F.lit(1), k))), F.lit(0))
 
+
+ship(__name__)

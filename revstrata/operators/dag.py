@@ -1,38 +1,19 @@
 """Operators over commit graphs: (rev, parent) edges, where a parent's rev is less than its child's.
 
-Traversals first contract runs, the stretches of history without a branch or a merge, by pointer doubling: as many joins
-as the longest run's length has binary digits. Loops of joins then go over the graph of runs, a few of its generations a
-job, and the runs reached are expanded again; so the number of jobs follows the branches and merges on a way, not the
-commits. Each round ends in a written table, and what is collected over rounds is rewritten as one table every few
-rounds, so that plans stay bounded.
+Traversals are sweeps over blocks of revs (see :mod:`sweep`), so their jobs follow the number of blocks, whatever the graph's
+shape. Chains whose identifiers have no order are walked by pointer doubling. A closed cycle is an error everywhere.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Generations of the graph of runs that one job goes over, and written tables after which they become one.
-HOPS, PARTS = 3, 8
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the folder of ``spark.checkpoint.dir``, or of a temporary one where that is unset."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="revstrata-"))
-        base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/revstrata/dag-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from revstrata.operators import labels
+from revstrata.operators.scratch import cut as _cut
+from revstrata.operators.sweep import derived, sweep
 
 
 def edges_of(nodes: DataFrame) -> DataFrame:
@@ -74,21 +55,6 @@ def topological_heads(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return branch_heads(nodes, edges).join(edges.select(F.col("parent").alias("rev")), "rev", "left_anti")
 
 
-class _Parts:
-    """Rows gathered over rounds, as a bounded number of written tables."""
-
-    def __init__(self, *first: DataFrame) -> None:
-        self.tables = list(first)
-
-    def all(self) -> DataFrame:
-        return reduce(DataFrame.unionAll, self.tables)
-
-    def add(self, table: DataFrame) -> None:
-        self.tables.append(table)
-        if len(self.tables) >= PARTS:
-            self.tables = [_cut(self.all())]
-
-
 def _runs(edges: DataFrame, here: str, there: str) -> tuple[DataFrame, DataFrame]:
     """Runs along edges (here, there): (rev, run, pos) of all nodes but the runs' ends, and the edges (run, next) between runs.
 
@@ -101,13 +67,16 @@ def _runs(edges: DataFrame, here: str, there: str) -> tuple[DataFrame, DataFrame
     inner = edges.join(sole_from, here, "left_semi").join(sole_to, there, "left_semi")
     jumps = _cut(inner.select(F.col(here).alias("rev"), F.col(there).alias("run"), F.lit(1).cast("long").alias("pos")))
     links = jumps.select(F.col("rev").alias(here), F.col("run").alias(there))
-    while True:
+    # a run that is longer than all edges goes round in a circle
+    for _ in range(jumps.count().bit_length() + 2):
         far = jumps.select(F.col("rev").alias("run"), F.col("run").alias("_run"), F.col("pos").alias("_pos"))
         doubled = jumps.join(far, "run", "left").select("rev", F.coalesce("_run", "run").alias("run"), (F.col("pos") + F.coalesce("_pos", F.lit(0))).alias("pos"), F.col("_run").isNotNull().alias("_moved"))
         doubled = _cut(doubled)
         jumps = doubled.drop("_moved")
         if doubled.where("_moved").isEmpty():
             break
+    else:
+        raise ValueError("a chain goes round in a circle")
     between = edges.join(links, [here, there], "left_anti")
     return jumps, _cut(between.join(jumps.select(F.col("rev").alias(there), "run"), there, "left").select(F.col(here).alias("run"), F.coalesce("run", there).alias("next")).distinct())
 
@@ -118,41 +87,31 @@ def _placed(rows: DataFrame, runs: DataFrame, key: str = "rev") -> DataFrame:
     return rows.join(at, key, "left").withColumn("run", F.coalesce("run", key)).withColumn("pos", F.coalesce("pos", F.lit(0)))
 
 
-def _closure(edges: DataFrame, starts: DataFrame, here: str, there: str, follow: DataFrame | None, contracted: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    used = edges if follow is None else edges.join(follow.select(F.col("rev").alias(here)), here, "left_semi")
-    runs, between = contracted or _runs(used, here, there)
-    entered = _cut(_placed(starts.select("rev").distinct(), runs).groupBy("run").agg(F.max("pos").alias("upto")))
-    frontier, whole = entered.select("run"), _Parts(entered.select("run").limit(0))
-    while not frontier.isEmpty():
-        reached, step = None, frontier
-        for hop in range(HOPS):
-            step = step.join(between, "run").select(F.col("next").alias("run")).distinct()
-            level = step.withColumn("hop", F.lit(hop))
-            reached = level if reached is None else reached.unionAll(level)
-        new = _cut(reached.groupBy("run").agg(F.min("hop").alias("hop")).join(whole.all(), "run", "left_anti"))
-        whole.add(new.select("run"))
-        frontier = new.where(F.col("hop") == HOPS - 1).select("run")
-    met = entered.select("run", "upto").unionAll(whole.all().select("run", F.lit((1 << 63) - 1).alias("upto"))).groupBy("run").agg(F.max("upto").alias("upto"))
-    inside = runs.join(met, "run").where(F.col("pos") <= F.col("upto")).select("rev")
-    return _cut(met.select(F.col("run").alias("rev")).unionAll(inside))
+def _closure(edges: DataFrame, starts: DataFrame, down: bool, follow: DataFrame | None = None) -> DataFrame:
+    """(rev) of the starts and all that is reached from them."""
+    if follow is not None:
+        here = "parent" if down else "child"
+        edges = edges.join(follow.select(F.col("rev").alias(here)).distinct(), here, "left_semi")
+    seen = F.lit(0).alias("seen")
+    return sweep(edges.select("child", "parent", seen), starts.select("rev", seen), {"seen": "max"}, down).select("rev")
 
 
 def ancestors(nodes: DataFrame, edges: DataFrame, starts: DataFrame, follow: DataFrame | None = None) -> DataFrame:
     """(rev) of the known starts and all their ancestors; only nodes in ``follow``, if given, are expanded."""
-    return _closure(edges, starts.join(nodes, "rev", "left_semi"), "child", "parent", follow)
+    return _closure(edges, starts.join(nodes, "rev", "left_semi"), False, follow)
 
 
 def descendants(nodes: DataFrame, edges: DataFrame, starts: DataFrame, follow: DataFrame | None = None) -> DataFrame:
     """(rev) of the starts and all their descendants; nothing, if any start is unknown."""
     known = starts.join(nodes.select("rev"), "rev", "left_anti").isEmpty()
-    return _closure(edges, starts if known else starts.limit(0), "parent", "child", follow)
+    return _closure(edges, starts if known else starts.limit(0), True, follow)
 
 
 def rev_range(nodes: DataFrame, edges: DataFrame, include: DataFrame, exclude: DataFrame) -> DataFrame:
     """Ancestors of ``include`` less ancestors of ``exclude``."""
-    contracted = _runs(edges, "child", "parent")
-    up = [_closure(edges, x.join(nodes, "rev", "left_semi"), "child", "parent", None, contracted) for x in (include, exclude)]
-    return up[0].join(up[1], "rev", "left_anti")
+    asked = include.select("rev", F.lit(1).alias("sides")).unionAll(exclude.select("rev", F.lit(2)))
+    sides = sweep(edges.select("child", "parent", F.lit(0).alias("sides")), asked.join(nodes, "rev", "left_semi"), {"sides": "or"}, False)
+    return sides.where("sides = 1").select("rev")
 
 
 def boundary(edges: DataFrame, inside: DataFrame) -> DataFrame:
@@ -167,45 +126,29 @@ def ancestry_path(nodes: DataFrame, edges: DataFrame, include: DataFrame, exclud
 
 
 def generation(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(rev, depth): the longest way from a root. A run's depth is final when the last of its parents' is."""
-    runs, between = _runs(edges, "child", "parent")
-    lengths = runs.groupBy("run").agg((F.max("pos") + 1).alias("length")).withColumnRenamed("run", "next")
-    between = _cut(between.join(lengths, "next", "left").select("run", "next", F.coalesce("length", F.lit(1)).cast("long").alias("length")))
-    ends = nodes.select("rev").distinct().join(runs.select("rev"), "rev", "left_anti").select(F.col("rev").alias("run"))
-    state = _cut(ends.join(between.groupBy("run").agg(F.count("*").alias("open")), "run", "left").select("run", F.coalesce("open", F.lit(0)).alias("open"), F.lit(0).cast("long").alias("depth")))
-    done = _Parts(state.limit(0).select("run", "depth"))
-    while not state.isEmpty():
-        level = state.where("open = 0").select("run", "depth")
-        done.add(level)
-        came = level.select(F.col("run").alias("next"), "depth").join(between, "next").groupBy("run").agg(F.count("*").alias("came"), F.max(F.col("depth") + F.col("length")).alias("least"))
-        left = state.where("open > 0").join(came, "run", "left")
-        state = _cut(left.select("run", (F.col("open") - F.coalesce("came", F.lit(0))).alias("open"), F.greatest("depth", F.coalesce("least", F.lit(0))).alias("depth")))
-    depths = _cut(done.all())
-    inside = runs.join(depths, "run").select("rev", (F.col("depth") + F.col("pos")).alias("depth"))
-    return depths.select(F.col("run").alias("rev"), "depth").unionAll(inside).select("rev", F.col("depth").cast("int").alias("depth"))
-
-
-def is_ancestor(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``is_ancestor``: a is b or an ancestor of b.
-
-    All pairs advance together, by runs; a run looks no further than to the oldest of what is still asked of it.
-    """
-    runs, between = _runs(edges, "child", "parent")
-    placed = _placed(_placed(pairs.select("a", "b").distinct(), runs, "a").withColumnsRenamed({"run": "a_run", "pos": "a_pos"}), runs, "b").withColumnsRenamed({"run": "b_run", "pos": "b_pos"})
-    placed = _cut(placed)
-    asked = _cut(placed.where("a_run <> b_run").select("b_run", "a_run").distinct())
-    frontier = asked.select("b_run", F.col("b_run").alias("run")).distinct()
-    seen, open_ = _Parts(asked.limit(0)), asked
-    while not (frontier.isEmpty() or open_.isEmpty()):
-        floor = open_.groupBy("b_run").agg(F.min("a_run").alias("floor"))
-        reached = frontier.join(between, "run").join(floor, "b_run").where(F.col("next") >= F.col("floor")).select("b_run", F.col("next").alias("a_run")).distinct()
-        new = _cut(reached.join(seen.all(), ["b_run", "a_run"], "left_anti"))
-        seen.add(new)
-        frontier, open_ = new.withColumnRenamed("a_run", "run"), _cut(open_.join(new, ["b_run", "a_run"], "left_anti"))
-    found = seen.all().withColumn("found", F.lit(True))
-    out = placed.join(found, ["a_run", "b_run"], "left")
-    yes = F.when(F.col("a_run") == F.col("b_run"), F.col("a_pos") <= F.col("b_pos")).otherwise(F.coalesce("found", F.lit(False)))
-    return pairs.join(out.select("a", "b", yes.alias("is_ancestor")), ["a", "b"]).select("a", "b", "is_ancestor")
+    """(rev, depth): the longest way from a root."""
+    depths = sweep(edges.select("child", "parent", F.lit(1).alias("depth")), nodes.select("rev", F.lit(0).alias("depth")), {"depth": "max"}, True)
+    return depths.select("rev", F.col("depth").cast("int").alias("depth"))
+
+
+def is_ancestor(nodes: DataFrame, edges: DataFrame, pairs: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """``pairs`` (a, b) with ``is_ancestor``: a is b or an ancestor of b; ``index`` are the graph's labels, if they are kept."""
+    return labels.is_ancestor(nodes, edges, pairs, index)
+
+
+def fast_forward(nodes: DataFrame, edges: DataFrame, updates: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """``updates`` (ref, old, new) with ``kind``: ``new``, ``gone``, ``same``, ``forward`` (the old node is an ancestor of the new one) or ``forced``."""
+    pairs = updates.where("old IS NOT NULL AND new IS NOT NULL").select(F.col("old").alias("a"), F.col("new").alias("b")).distinct()
+    told = is_ancestor(nodes, edges, pairs, index).withColumnsRenamed({"a": "old", "b": "new"})
+    kind = (
+        F.when(F.col("old").isNull() & F.col("new").isNull(), F.lit(None))
+        .when(F.col("old").isNull(), "new")
+        .when(F.col("new").isNull(), "gone")
+        .when(F.col("old") == F.col("new"), "same")
+        .when(F.col("is_ancestor"), "forward")
+        .otherwise("forced")
+    )
+    return updates.join(told, ["old", "new"], "left").withColumn("kind", kind).drop("is_ancestor").select(*updates.columns, "kind")
 
 
 def reachable(nodes: DataFrame, edges: DataFrame, targets: DataFrame, sources: DataFrame) -> DataFrame:
@@ -253,19 +196,17 @@ def infer_branches(nodes: DataFrame, edges: DataFrame, pushes: DataFrame) -> Dat
     """
     unknown = _cut(nodes.where(~F.col("known")).select("rev", "p1"))
     inner = edges.join(unknown.select(F.col("rev").alias("parent")), "parent", "left_semi")
-    labels = _cut(pushes.join(unknown, "rev", "left_semi").groupBy("rev").agg(F.min("order").alias("order")))
-    frontier = labels
-    while not frontier.isEmpty():
-        came = frontier.join(inner, frontier.rev == inner.child).groupBy(F.col("parent").alias("rev")).agg(F.min("order").alias("order"))
-        held = labels.select("rev", F.col("order").alias("held"))
-        frontier = _cut(came.join(held, "rev", "left").where(F.col("held").isNull() | (F.col("order") < F.col("held"))).select("rev", "order"))
-        labels = _cut(labels.unionAll(frontier).groupBy("rev").agg(F.min("order").alias("order")))
+    first = _cut(pushes.join(unknown, "rev", "left_semi").groupBy("rev").agg(F.min("order").alias("order")))
+    inner = inner.join(unknown.select(F.col("rev").alias("child")), "child", "left_semi")
+    named = sweep(inner.select("child", "parent", F.lit(0).alias("order")), first, {"order": "min"}, False)
     known = nodes.where("known").select("rev", "branch")
     jump = unknown.join(known.select(F.col("rev").alias("p1"), F.lit(True).alias("done")), "p1", "left").select(
         "rev", F.col("p1").alias("at"), (F.col("p1").isNull() | F.coalesce("done", F.lit(False))).alias("done")
     )
     jump = _cut(jump)
-    while not jump.where("NOT done").isEmpty():
+    for _ in range(jump.count().bit_length() + 2):
+        if jump.where("NOT done").isEmpty():
+            break
         to = jump.select(F.col("rev").alias("at"), F.col("at").alias("next"), F.col("done").alias("next_done"))
         further = jump.join(to, "at", "left").select(
             "rev",
@@ -273,36 +214,27 @@ def infer_branches(nodes: DataFrame, edges: DataFrame, pushes: DataFrame) -> Dat
             (F.col("done") | F.coalesce("next_done", F.lit(True))).alias("done"),
         )
         jump = _cut(further)
+    else:
+        raise ValueError("first parents go round in a circle")
     inferred = jump.join(known.withColumnRenamed("rev", "at"), "at", "left").select("rev", F.col("branch").alias("near"))
-    named = pushes.groupBy("order").agg(F.first("branch").alias("pushed"))
-    left = inferred.join(labels, "rev", "left").join(named, "order", "left")
+    pushed = pushes.groupBy("order").agg(F.first("branch").alias("pushed"))
+    left = inferred.join(named, "rev", "left").join(pushed, "order", "left")
     chosen = left.select(
         "rev", F.when(F.col("order").isNotNull(), F.col("pushed")).otherwise(F.col("near")).alias("branch"), F.when(F.col("order").isNotNull(), "set").otherwise("inferred").alias("kind")
     )
     return known.withColumn("kind", F.lit("known")).unionByName(chosen)
 
 
-def rewrite(nodes: DataFrame, inside: DataFrame, new_id: Callable[[Column, Column, Column], Column]) -> DataFrame:
+def rewrite(nodes: DataFrame, inside: DataFrame, new_id: Callable[[str | None, str | None, bytes | None], str]) -> DataFrame:
     """(rev, new_node) for the nodes of ``nodes`` (rev, node, p1, p2, content) that ``inside`` names.
 
-    ``new_id`` makes an identifier of the parents' identifiers (new ones for parents inside) and the content.
-    Levels of the part that is rewritten follow each other; each is one join for either parent.
+    ``new_id`` makes an identifier of the parents' identifiers (new ones for parents inside) and the content; it runs in
+    topological order, block by block.
     """
-    part = _cut(nodes.join(inside.select("rev"), "rev", "left_semi"))
-    depth = generation(part, edges_of(part))
-    part = _cut(part.join(depth, "rev"))
-    ids = nodes.select("rev", "node")
-    old = {k: ids.select(F.col("rev").alias(k), F.col("node").alias(f"{k}_id")) for k in ("p1", "p2")}
-    part = _cut(part.join(old["p1"], "p1", "left").join(old["p2"], "p2", "left"))
-    levels = part.agg(F.max("depth")).first()[0]
-    done = part.limit(0).select("rev", F.lit("").alias("new_node"))
-    for level in range(0 if levels is None else levels + 1):
-        rows = part.where(F.col("depth") == level)
-        for k in ("p1", "p2"):
-            moved = done.select(F.col("rev").alias(k), F.col("new_node").alias(f"{k}_new"))
-            rows = rows.join(moved, k, "left").withColumn(f"{k}_id", F.coalesce(f"{k}_new", f"{k}_id"))
-        done = done.unionAll(_cut(rows.select("rev", new_id(F.col("p1_id"), F.col("p2_id"), F.col("content")).alias("new_node"))))
-    return done
+    part = nodes.join(inside.select("rev").distinct(), "rev", "left_semi")
+    for k in ("p1", "p2"):
+        part = part.join(nodes.select(F.col("rev").alias(k), F.col("node").alias(f"{k}_id")), k, "left")
+    return derived(part.select("rev", "p1", "p2", "p1_id", "p2_id", "content"), new_id)
 
 
 def discover(nodes: DataFrame, edges: DataFrame, remote: DataFrame, sample: int = 100, seed: int = 7) -> DataFrame:
@@ -312,15 +244,15 @@ def discover(nodes: DataFrame, edges: DataFrame, remote: DataFrame, sample: int
     and seeded others of what is open, ``sample`` nodes in all. The result is that of :func:`common_heads`.
     """
     open_, known = nodes.select("rev"), nodes.select("rev").limit(0)
-    up, down, turn = _runs(edges, "child", "parent"), _runs(edges, "parent", "child"), 0
+    turn = 0
     while not open_.isEmpty():
         order = F.xxhash64("rev", F.lit(seed + turn))
         tops = heads(open_, edges).select("rev", F.lit(0).alias("kind"))
         bottoms = roots(open_, edges).select("rev", F.lit(1).alias("kind"))
         asked = tops.unionAll(bottoms).unionAll(open_.select("rev", F.lit(2).alias("kind"))).groupBy("rev").agg(F.min("kind").alias("kind"))
         asked = _cut(asked.orderBy("kind", order).limit(sample).select("rev"))
-        yes = _closure(edges, asked.join(remote, "rev", "left_semi"), "child", "parent", None, up)
-        no = _closure(edges, asked.join(remote, "rev", "left_anti"), "parent", "child", None, down)
+        yes = _closure(edges, asked.join(remote, "rev", "left_semi"), False)
+        no = _closure(edges, asked.join(remote, "rev", "left_anti"), True)
         known = _cut(known.unionAll(yes.join(open_, "rev", "left_semi")))
         open_ = _cut(open_.join(yes, "rev", "left_anti").join(no, "rev", "left_anti"))
         turn += 1

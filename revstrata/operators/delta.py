@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revstrata.shipping import ship
 
 #: Lines of old times lines of new up to which a stretch is compared line by line.
 DENSE = 250_000
@@ -174,3 +175,6 @@ def replay_chains(deltas: DataFrame, chain: str = "chain", seq: str = "seq") ->
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in deltas.schema if f.name in (chain, seq))
     return deltas.groupBy(chain).applyInPandas(of, f"{schema}, content binary").select(chain, seq, "content")
+
+
+ship(__name__)

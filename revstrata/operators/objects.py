@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from revstrata.functions.identity import node_hash
 from revstrata.functions.text import percent_decode
+from revstrata.shipping import ship
 
 #: The identifier of a file without content and parents, and what a file's header stands between.
 EMPTY_FILE = "b80de5d138758541c5f05265ad144ab9fa86d1db"
@@ -129,3 +130,6 @@ def without_fillers(raw: Column, node: Column, p1: Column, p2: Column) -> Column
     cut = lambda k: F.substring(raw, F.lit(1), F.length(raw) - k)
     fits = F.filter(F.sequence(F.lit(0), extra), lambda k: (k == extra) | (node_hash(p1, p2, cut(k)) == node))
     return F.when(node.isNull(), raw).otherwise(cut(F.element_at(fits, 1)))
+
+
+ship(__name__)

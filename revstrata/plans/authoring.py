@@ -107,16 +107,6 @@ def branch_inference(spark, d):
     return dag.infer_branches(n.select("rev", "p1", "branch", F.col("closed").alias("known")), e, pushes)
 
 
-@query(f"""WITH RECURSIVE {DAG_SQL}, inside AS (SELECT rev, p1, branch FROM nodes WHERE rev >= 6), top AS (
-    SELECT rev, sha1(unhex(repeat('0', 40)) || unhex(sha1(CAST(p1 AS VARCHAR))) || encode(branch)) AS new_node FROM inside WHERE p1 < 6
-    UNION ALL SELECT i.rev, sha1(unhex(repeat('0', 40)) || unhex(t.new_node) || encode(i.branch)) FROM top t JOIN inside i ON i.p1 = t.rev)
-  SELECT rev, new_node FROM top""")
-def history_rewrite(spark, d):
-    """All changesets from rev 6 on made anew over their first parents, whose identifiers change with them."""
-    n = views.nodes(spark, d).select("rev", "node", "p1", F.lit(None).cast("long").alias("p2"), F.col("branch").alias("content"))
-    return dag.rewrite(n, n.where("rev >= 6"), identity.node_hash)
-
-
 @query(f"""WITH RECURSIVE {DAG_SQL}, b AS (SELECT rev FROM nodes WHERE branch = '1-URGENT' UNION SELECT e.parent FROM b JOIN edges e ON e.child = b.rev)
   SELECT rev FROM b WHERE rev NOT IN (SELECT parent FROM edges WHERE child IN (SELECT rev FROM b))""")
 def discovery(spark, d):

@@ -85,7 +85,7 @@ def test_rewrite_and_discovery(spark):
     rows = [(k, _sha(str(k)), (p + [None, None])[0], (p + [None, None])[1], f"c{k}") for k, p in parents.items()]
     nodes = spark.createDataFrame(rows, "rev long, node string, p1 long, p2 long, content string")
     inside = {k for k in range(n) if k % 3 != 1}
-    got = {r.rev: r.new_node for r in dag.rewrite(nodes, nodes.where("rev % 3 <> 1"), identity.node_hash).collect()}
+    got = {r.rev: r.new_node for r in dag.rewrite(nodes, nodes.where("rev % 3 <> 1"), identity.node_of).collect()}
     now = {k: _sha(str(k)) for k in range(n)}
     for k in sorted(inside):
         a, b = sorted(([now[p] for p in parents[k]] + ["0" * 40] * 2)[:2])
