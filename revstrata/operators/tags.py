@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revstrata.shipping import ship
+
+#: Ranks of heads that are compared with the one before together.
+STRETCH = 4096
+
 
 def tags_in_file(lines: DataFrame, file: str = "file", tag: str = "tag", line: str = "line", node: str = "node") -> DataFrame:
     """(file, tag, node, hist): the last line of a tag counts, hist is the distinct nodes of all lines before it.
@@ -18,22 +26,44 @@ def tags_in_file(lines: DataFrame, file: str = "file", tag: str = "tag", line: s
     return rows.select(file, tag, "node", F.array_sort(F.transform(before, lambda x: x["_node"])).alias("hist"))
 
 
-def _fold(held: Column, came: Column) -> Column:
-    """One step: what is held stays only if the newcomer is in its history and it is not in the newcomer's, or has the longer one."""
-    keep = (
-        (came["node"] != held["node"])
-        & F.array_contains(held["hist"], came["node"])
-        & (~F.array_contains(came["hist"], held["node"]) | (F.size(held["hist"]) > F.size(came["hist"])))
-    )
-    return F.struct(F.when(keep, held["node"]).otherwise(came["node"]).alias("node"), F.array_sort(F.array_union(held["hist"], came["hist"])).alias("hist"))
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a tag of rows (tag, node, hist) in order: what is held stays only if the newcomer is in its history and it is not in the newcomer's, or has the longer one."""
+    start = object()
+    tag, held, hist, out = start, "", set(), []
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.list_(pa.string()))], names=["tag", "node", "hist"])
+
+    for batch in batches:
+        for now, node, came in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if now != tag:
+                if tag is not start:
+                    out.append((tag, held, sorted(hist)))
+                tag, held, hist = now, node, set(came)
+                continue
+            keep = node != held and node in hist and (held not in came or len(hist) > len(came))
+            held = held if keep else node
+            hist.update(came)
+        yield rows()
+        out.clear()
+    if tag is not start:
+        out.append((tag, held, sorted(hist)))
+        yield rows()
 
 
 def merged(per_head: DataFrame, rank: str = "rank", tag: str = "tag") -> DataFrame:
-    """(tag, node, hist) over the heads' tags in order of ``rank``; an empty node is a deleted tag, which still counts in the fold."""
-    rows = per_head.groupBy(tag).agg(F.array_sort(F.collect_list(F.struct(F.col(rank).alias("rank"), "node", "hist"))).alias("_h"))
-    first = F.struct(F.col("_h")[0]["node"].alias("node"), F.col("_h")[0]["hist"].alias("hist"))
-    folded = F.aggregate(F.slice("_h", F.lit(2), F.greatest(F.size("_h") - 1, F.lit(0))), first, _fold)
-    return rows.select(tag, folded.alias("_t")).select(tag, "_t.node", "_t.hist")
+    """(tag, node, hist) over the heads' tags in order of ``rank``; an empty node is a deleted tag, which still counts in the fold.
+
+    Heads that say what the one before says change nothing and go first, in stretches of ranks. What is left of a tag is sorted
+    and streamed through one task, which holds the tag's node and its history, however many heads there are. Histories are
+    distinct nodes. Of equal ranks the lesser node comes first.
+    """
+    order = [F.col(rank).asc_nulls_first(), F.col("node").asc_nulls_first(), F.col("hist").asc_nulls_first()]
+    stretch = Window.partitionBy(tag, F.floor(F.col(rank) / STRETCH)).orderBy(*order)
+    said = F.struct("node", "hist")
+    rows = per_head.select(F.col(tag).cast("string").alias(tag), rank, "node", "hist").withColumn("_same", said.eqNullSafe(F.lag(said).over(stretch)))
+    kept = rows.where(~F.col("_same")).repartition(tag).sortWithinPartitions(tag, *order).select(tag, "node", "hist")
+    return kept.mapInArrow(_folded, "tag string, node string, hist array<string>").select(F.col("tag").alias(tag), "node", "hist")
 
 
 def live(tags: DataFrame) -> DataFrame:
@@ -61,3 +91,6 @@ def same_tags(a: DataFrame, b: DataFrame) -> bool:
     """Whether two tag tables have the same live tags."""
     x, y = live(a).select("tag", "node"), live(b).select("tag", "node")
     return x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
+
+
+ship(__name__)

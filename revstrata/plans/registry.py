@@ -446,3 +446,6 @@ def bundle_round_trip(spark, d):
     rows = load(spark, d, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).cast("binary").alias("content"))
     back = bundle.decode(bundle.encode(rows, "conv_id", "turn", "content"))
     return back.select("conv_id", F.col("seq").alias("turn"), F.sha1("content").alias("content"))
+
+
+from revstrata.plans import trees  # noqa: E402, F401  it uses what is above

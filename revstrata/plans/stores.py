@@ -137,8 +137,8 @@ def bundle_names(spark, d):
 
 # Manifests and changes -------------------------------------------------------------------------
 
-TREES_SQL = f"""{ENTRIES_SQL}, t AS (SELECT commit_id AS commit, regexp_extract(path, '^[^/]*') AS path, min(file_node) AS file_node FROM entries GROUP BY 1, 2),
-  c AS (SELECT o_orderkey AS commit, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey // 4 END AS p1, CASE WHEN o_orderkey % 4 > 1 THEN o_orderkey // 3 END AS p2 FROM orders)"""
+TREES_SQL = f"""{ENTRIES_SQL}, t AS MATERIALIZED (SELECT commit_id AS commit, regexp_extract(path, '^[^/]*') AS path, min(file_node) AS file_node FROM entries GROUP BY 1, 2),
+  c AS MATERIALIZED (SELECT o_orderkey AS commit, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey // 4 END AS p1, CASE WHEN o_orderkey % 4 > 1 THEN o_orderkey // 3 END AS p2 FROM orders)"""
 
 
 @query(f"""WITH {TREES_SQL},

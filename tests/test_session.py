@@ -86,8 +86,13 @@ def test_imports_and_checks(spark, tmp_path):
     assert live.check_and_mark(store).isEmpty()
     checked = store.current()
     second, sets = _revisions(spark, range(2, 8))
+    new, heads = live.overlay(checked, second, ["seq"])
+    assert {(r.rev, r.node) for r in new.collect()} == {(k, sets[k]) for k in range(4, 8)}
     live.import_revisions(store, second, ["seq"])
     now = store.current()
+    assert {tuple(r) for r in heads.collect()} == {tuple(r) for r in now.table("heads").select(*heads.columns).collect()}
+    new, heads = live.overlay(checked, first, ["seq"])
+    assert new.isEmpty() and heads.count() == checked.table("heads").count()
     got = {r.node: r for r in now.table("changesets").collect()}
     assert {r.rev: n for n, r in got.items()} == {k: n for k, n in sets.items()}
     assert now.new_rows("changesets", checked).count() == 4
@@ -111,27 +116,10 @@ def test_imports_and_checks(spark, tmp_path):
     assert [(r.kind, r.id) for r in live.check_and_mark(store).collect()] == [("head", sets[4])]
     assert store.snapshots().where("status = 'broken'").count() == 1
     orphan = second.where(F.col("seq") > 5)
+    with pytest.raises(Exception, match="not known"):
+        live.overlay(checked, orphan, ["seq"])[0].collect()
     with pytest.raises(Exception, match="not known"):
         live.import_revisions(Store(spark, f"file://{tmp_path}/other"), orphan, ["seq"])
     assert Store(spark, f"file://{tmp_path}/other").pointer() == (0, None)
     assert transfer.imported(first)["changesets"].count() == 4
 
-
-def test_overlay_of_a_bundle(spark, tmp_path):
-    store = Store(spark, f"file://{tmp_path}/store")
-    first, _ = _revisions(spark, range(4))
-    live.import_revisions(store, first, ["seq"])
-    more, sets = _revisions(spark, range(2, 8))
-    before = store.current()
-    new, heads = live.overlay(before, more, ["seq"])
-    assert {(r.rev, r.node) for r in new.collect()} == {(k, sets[k]) for k in range(4, 8)}
-    live.import_revisions(store, more, ["seq"])
-    after = store.current().table("heads")
-    assert {tuple(r) for r in heads.collect()} == {tuple(r) for r in after.select(*heads.columns).collect()}
-    orphan = more.where(F.col("seq") > 5)
-    with pytest.raises(Exception, match="not known"):
-        live.overlay(before, orphan, ["seq"])[0].collect()
-    new, heads = live.overlay(before, first, ["seq"])
-    assert new.isEmpty() and heads.count() == before.table("heads").count()
-    empty = Store(spark, f"file://{tmp_path}/empty").current()
-    assert live.overlay(empty, first, ["seq"])[1].count() == before.table("heads").count()

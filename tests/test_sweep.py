@@ -30,7 +30,7 @@ def _up(parents):
     return out
 
 
-@pytest.mark.parametrize(("stride", "size"), [(1, 1000), (1, 11), (1 << 40, 17)])
+@pytest.mark.parametrize(("stride", "size"), [(1, 1000), (1 << 40, 17)])
 def test_fields(spark, stride, size):
     parents = _graph(size, 40, stride)
     nodes, edges = _frames(spark, parents)
