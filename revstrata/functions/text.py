@@ -16,6 +16,13 @@ def extra_text(extra: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(F.map_entries(extra)), lambda e: F.concat(e["key"], F.lit(":"), e["value"])), "\x00")
 
 
+def extra_set(extra: Column, key: str, value: Column) -> Column:
+    """``extra`` with ``key`` set to ``value``, or without it where that is NULL; NULL is an empty map."""
+    held = F.coalesce(extra, F.create_map().cast("map<string,string>"))
+    rest = F.map_filter(held, lambda k, _: k != key)
+    return F.when(value.isNull(), rest).otherwise(F.map_concat(rest, F.create_map(F.lit(key), value)))
+
+
 def branch_of(extra: Column) -> Column:
     return F.coalesce(extra["branch"], F.lit("default"))
 

@@ -134,6 +134,16 @@ def delta(old: Column, new: Column) -> Column:
     return F.pandas_udf(of, "binary")(old, new)
 
 
+def byte_delta(old: Column, new: Column) -> Column:
+    """The packed delta between two binary columns whose hunks hold only the bytes that differ; NULL counts as empty."""
+
+    def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            yield pd.Series([pack(byte_hunks(bytes(x or b""), bytes(y or b""))) for x, y in zip(a, b, strict=True)], dtype=object)
+
+    return F.pandas_udf(of, "binary")(old, new)
+
+
 def patched(old: Column, packed: Column) -> Column:
     """A packed delta applied to a binary column."""
 

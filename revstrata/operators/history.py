@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revstrata.functions.identity import node_hash
 from revstrata.operators import dag, paths
+from revstrata.operators.dag import _cut
 from revstrata.operators.objects import EMPTY_FILE, copied_file_id
 from revstrata.operators.ordering import numbered
 
@@ -175,6 +176,23 @@ def heads_of_files(revisions: DataFrame) -> DataFrame:
     return revisions.select("path", "node").distinct().join(inner, ["path", "node"], "left_anti")
 
 
+def file_ancestry(first: DataFrame, second: DataFrame, revisions: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """(keys, a, b): where two manifests (keys, file_node) differ and one's file node is an ancestor (a) of the other's (b).
+
+    ``revisions`` are (keys, node, p1, p2) with ``order``, in which parents come first. Nodes without a revision have no ancestors.
+    """
+    placed = _cut(numbered(revisions.select(*keys, "node", "p1", "p2", order), [order], "rev").select(*keys, "node", "p1", "p2", "rev"))
+    at = lambda c: placed.select(*keys, F.col("node").alias(c), F.col("rev").alias(f"{c}_rev"))
+    links = placed.select(*keys, F.col("rev").alias("child"), F.explode(F.array_compact(F.array("p1", "p2"))).alias("p"))
+    edges = _cut(links.join(at("p"), [*keys, "p"]).select("child", F.col("p_rev").alias("parent")).distinct())
+    met = first.select(*keys, F.col("file_node").alias("a")).join(second.select(*keys, F.col("file_node").alias("b")), keys).where("a <> b")
+    met = _cut(met.join(at("a"), [*keys, "a"]).join(at("b"), [*keys, "b"]))
+    turned = met.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"), F.col("b_rev").alias("a_rev"), F.col("a_rev").alias("b_rev"))
+    both = met.select(*turned.columns).unionByName(turned).where("a_rev < b_rev")
+    told = dag.is_ancestor(placed.select("rev"), edges, both.select(F.col("a_rev").alias("a"), F.col("b_rev").alias("b")).distinct())
+    return both.join(told.where("is_ancestor").select(F.col("a").alias("a_rev"), F.col("b").alias("b_rev")), ["a_rev", "b_rev"]).select(*keys, "a", "b")
+
+
 def depth_of_manifests(changesets: DataFrame, edges: DataFrame) -> DataFrame:
     """(manifest, depth): the greatest depth of the changesets (rev, manifest) that have it."""
     depths = dag.generation(changesets.select("rev"), edges)

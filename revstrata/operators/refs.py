@@ -99,6 +99,22 @@ def clone_source(lines: DataFrame, graft: bool | None = None, known: DataFrame |
     return rows.orderBy(~is_graft, "place").limit(1).select("url", "branch")
 
 
+def fetch_head(fetched: DataFrame, url: Column) -> DataFrame:
+    """``fetched`` (oid, name, merge) with ``line``: what a fetch reports of each reference.
+
+    A reference that is not for merging says so; branches and tags are named by kind, all others by their whole name; the
+    reference ``HEAD`` has the address alone.
+    """
+    name = F.col("name")
+    what = (
+        F.when(name == "HEAD", "")
+        .when(F.startswith(name, F.lit("refs/heads/")), F.concat(F.lit("branch '"), F.substring(name, F.lit(12), F.length(name)), F.lit("' of ")))
+        .when(F.startswith(name, F.lit("refs/tags/")), F.concat(F.lit("tag '"), F.substring(name, F.lit(11), F.length(name)), F.lit("' of ")))
+        .otherwise(F.concat(F.lit("'"), name, F.lit("' of ")))
+    )
+    return fetched.withColumn("line", F.concat("oid", F.lit("\t"), F.when(F.col("merge"), "").otherwise("not-for-merge"), F.lit("\t"), what, url))
+
+
 def compare_and_set(refs: DataFrame, updates: DataFrame) -> DataFrame:
     """``refs`` (name, oid) after updates (name, old, new): a new NULL deletes; an update whose old value is not the present one fails."""
     held = updates.join(refs, "name", "left")

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from revstrata.functions import authorship, identity, text
 from revstrata.operators import dag, delta, integrity, mapping, paths, refs, snapshots, tags
-from revstrata.plans import authoring, checks, graphs, live, stores, transfers, views  # noqa: F401  these register their queries
+from revstrata.plans import authoring, checks, exchange, graphs, live, stores, transfers, trees, views  # noqa: F401  these register their queries
 from revstrata.plans.catalog import QUERIES, SQL, query
-from revstrata.plans.views import DAG_SQL, ENTRIES_SQL, MAPPING_SQL, TAGS_SQL
+from revstrata.plans.views import DAG_SQL, ENTRIES_SQL, EVEN_ODD, MAPPING_SQL, TAGS_SQL
 from revstrata.sources import bundle
 from revstrata.tables import load
 
@@ -167,24 +167,15 @@ def ref_transaction(spark, d):
 
 # Paths and manifests ---------------------------------------------------------------------------
 
-EVEN_ODD = f"""WITH {ENTRIES_SQL}, l AS (SELECT commit_id // 2 AS c, path, file_node FROM entries WHERE commit_id % 2 = 0),
-  r AS (SELECT commit_id // 2 AS c, path, file_node FROM entries WHERE commit_id % 2 = 1)"""
-
-
-def _sides(spark, d, n=2):
-    e = views.entries(spark, d)
-    return [e.where(f"commit_id % {n} = {k}").select(F.expr(f"commit_id div {n}").alias("c"), "path", "file_node") for k in range(n)]
-
-
 @query(f"{EVEN_ODD} SELECT c, path, l.file_node AS \"left\", r.file_node AS \"right\" FROM l FULL JOIN r USING (c, path)")
 def path_merge_join(spark, d):
-    left, right = _sides(spark, d)
+    left, right = views.sides(spark, d)
     return paths.merge_join(left, right, ["c", "path"], "file_node")
 
 
 @query(f"{EVEN_ODD} SELECT c, path, l.file_node AS \"left\", r.file_node AS \"right\" FROM l FULL JOIN r USING (c, path) WHERE l.file_node IS DISTINCT FROM r.file_node")
 def path_diff(spark, d):
-    left, right = _sides(spark, d)
+    left, right = views.sides(spark, d)
     return paths.diff_by_directory(left, right, ["c", "path"], "path", "file_node")
 
 
@@ -204,7 +195,7 @@ def manifest_diff3(spark, d):
 
 @query(f"{EVEN_ODD}, ch AS (SELECT c, path, CASE WHEN substr(file_node, 1, 1) >= '8' THEN file_node END AS file_node FROM r) SELECT * FROM l ANTI JOIN ch USING (c, path) UNION ALL SELECT * FROM ch WHERE file_node IS NOT NULL")
 def manifest_rebuild(spark, d):
-    left, right = _sides(spark, d)
+    left, right = views.sides(spark, d)
     changes = right.withColumn("file_node", F.when(F.substring("file_node", 1, 1) >= "8", F.col("file_node")))
     return paths.rebuild(left, changes, ["c", "path"], "file_node")
 
@@ -213,7 +204,7 @@ def manifest_rebuild(spark, d):
   gone AS (SELECT f, min(path) AS source FROM o WHERE path NOT IN (SELECT path FROM n) GROUP BY f), came AS (SELECT f, path AS target FROM n WHERE path NOT IN (SELECT path FROM o))
   SELECT f AS file_node, source, target FROM gone JOIN came USING (f)""")
 def exact_renames(spark, d):
-    left, right = (s.groupBy("path").agg(F.min("file_node").alias("file_node")) for s in _sides(spark, d))
+    left, right = (s.groupBy("path").agg(F.min("file_node").alias("file_node")) for s in views.sides(spark, d))
     return paths.renames(left, right, "path", "file_node")
 
 
@@ -446,6 +437,3 @@ def bundle_round_trip(spark, d):
     rows = load(spark, d, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).cast("binary").alias("content"))
     back = bundle.decode(bundle.encode(rows, "conv_id", "turn", "content"))
     return back.select("conv_id", F.col("seq").alias("turn"), F.sha1("content").alias("content"))
-
-
-from revstrata.plans import trees  # noqa: E402, F401  it uses what is above

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revstrata.operators import digests, scratch, similarity
-from revstrata.plans import registry
+from revstrata.plans import views
 from revstrata.plans.catalog import query
-from revstrata.plans.registry import EVEN_ODD
+from revstrata.plans.views import EVEN_ODD
 from revstrata.tables import load
 
 THRESHOLDS = (50, 90, 100)
@@ -48,5 +48,5 @@ def similar_renames(spark, d) -> DataFrame:
 @query(f"{EVEN_ODD} SELECT c, path, l.file_node AS \"left\", r.file_node AS \"right\" FROM l FULL JOIN r USING (c, path) WHERE l.file_node IS DISTINCT FROM r.file_node")
 def stored_path_diff(spark, d) -> DataFrame:
     """The difference of :func:`path_diff`, from stored digests of all directories."""
-    left, right = (digests.store(side, ["c"], "file_node") for side in registry._sides(spark, d))
+    left, right = (digests.store(side, ["c"], "file_node") for side in views.sides(spark, d))
     return digests.compare(left, right)

@@ -25,6 +25,9 @@ entries AS (
   FROM lineitem GROUP BY 1, 2
 )"""
 
+EVEN_ODD = f"""WITH {ENTRIES_SQL}, l AS (SELECT commit_id // 2 AS c, path, file_node FROM entries WHERE commit_id % 2 = 0),
+  r AS (SELECT commit_id // 2 AS c, path, file_node FROM entries WHERE commit_id % 2 = 1)"""
+
 MAPPING_SQL = "mapping AS (SELECT sha1('h' || c_custkey) AS hg, sha1('g' || c_custkey) AS git, c_custkey FROM customer)"
 
 
@@ -60,6 +63,12 @@ def entries(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def sides(spark: SparkSession, d: str, n: int = 2) -> list[DataFrame]:
+    """Manifests (c, path, file_node) of ``n`` neighbours each: every n-th commit is a side of its own."""
+    e = entries(spark, d)
+    return [e.where(f"commit_id % {n} = {k}").select(F.expr(f"commit_id div {n}").alias("c"), "path", "file_node") for k in range(n)]
+
+
 def mapping(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey").cast("string")
     return load(spark, d, "customer").select(F.sha1(F.concat(F.lit("h"), c)).alias("hg"), F.sha1(F.concat(F.lit("g"), c)).alias("git"), "c_custkey")
