@@ -17,26 +17,31 @@ from revstrata.tables import load
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; null and empty texts and texts without letters go."""
     release(spark)
     return langid.accepted(docs, langid.fit(docs))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not score as toxic; empty texts are kept."""
     release(spark)
     return toxicity.clean(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of documents whose sets of 5-word n-grams have a likeness of 0.8 or more."""
     release(spark)
     return jaccard.deduplicated(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn once each, with their calibrated weight cut at one as probability."""
     release(spark)
     return mixing.sample(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, source, lang, n_pieces, ids, lossless) of every document that is left."""
     release(spark)
     return sentencepiece_lattice.encode(docs).select("doc_id", "source", "lang", "n_pieces", "ids", "lossless")
 
