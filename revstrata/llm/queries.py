@@ -146,7 +146,7 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach r ON r.a = d.doc_id G
 """
 
 
-def op13_sql(k: int = 16, dims: int = 64, rounds: int = 3) -> str:
+def op13_sql(k: int = 16, dims: int = 64, rounds: int = 3, scale: int = 64) -> str:
     """Every vector against every centroid, in integers, round by round."""
     near = """near{t} AS MATERIALIZED (SELECT row, arg_min(number, (d, number)) AS number, min(d) AS d FROM (
     SELECT x.row, c.number, sum((x.v - c.v) * (x.v - c.v)) AS d FROM parts x JOIN centroids{t} c USING (dim) GROUP BY 1, 2) GROUP BY row)"""
@@ -155,7 +155,7 @@ def op13_sql(k: int = 16, dims: int = 64, rounds: int = 3) -> str:
     steps = [near.format(t=t) + ",\n" + moved.format(t=t, n=t + 1) for t in range(rounds)]
     return f"""
 WITH kept AS MATERIALIZED (
-  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({dims} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}
 ), parts AS MATERIALIZED (SELECT row, unnest(v) AS v, generate_subscripts(v, 1) AS dim FROM kept
 ), first AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS number, v FROM kept QUALIFY number < {k}
