@@ -31,9 +31,9 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math object audio video canvas".split())
+RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg object audio video canvas annotation annotation-xml".split())
 #: Of these, those that end at their parent, or at the next block, where they are not closed; the others then reach to the page's end.
-EMBEDDED = frozenset("template svg math object audio video canvas".split())
+EMBEDDED = frozenset("template svg object audio video canvas annotation annotation-xml".split())
 SECTIONS = frozenset("article main section div td blockquote".split())
 #: Elements that never hold main text, and what roles, classes and ids say of the same kind.
 OTHER = frozenset("aside button datalist dialog footer head menu nav option search select".split())
@@ -49,6 +49,14 @@ OTHER_NAMES = re.compile(
 )
 #: Names that tell of a page's layout or state, not of what an element is: has-sidebar, no-sidebar, main-with-nav, comments-open, content-sidebar-wrap.
 LAYOUT_NAMES = re.compile(r"(?:(?<=[\s_-])|^)(?:(?:has|no|with|without)[_-][^\s]*|[^\s_-]+[_-](?:open|opened|closed)(?=$|[\s_-])|content[_-]sidebars?(?=$|[\s_-]))", re.I)
+#: Words that do not speak for a paragraph or a heading: there they tell of its style, or of what it is about.
+SOFT_NAMES = re.compile(r"^(?:comments?|feedback|recommend\w*|related|replies|reply|respond|search|share|sharing|social|teasers?|notices?|disclaimer|promoted|skip)$", re.I)
+#: Words of elements that hold what readers wrote, however much that is.
+READER_NAMES = frozenset("comment comments commentlist disqus replies respond".split())
+#: Headings behind which readers write, and blocks that are notices about cookies.
+READER_HEADING = re.compile(r"(?:\d+\s+)?(?:reader\s+|user\s+)?(?:comments?|responses?|replies|kommentare?|commentaires?|comentarios?)(?:\s*[(\[]?\d+[)\]]?)?\s*:?|(?:leave|post|write|add) a (?:comment|reply|response)\W*", re.I)
+COOKIES = re.compile(r"\b(?:we|(?:this|our) (?:web\s?)?sites?) uses? cookies\b", re.I)
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、'\"“”«»()¿¡-]")
 CLOSES_P = BLOCKS - {"option", "optgroup", "legend", "caption"}
 
@@ -66,8 +74,9 @@ def _declared_other(tag: str, raw: str, in_article: bool) -> str:
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
             names = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", html_lib.unescape(value))
             word = OTHER_NAMES.search(names) and OTHER_NAMES.search(LAYOUT_NAMES.sub("", names))
-            if word:
-                found = word[0].strip(" \t\r\n\f_-").lower()
+            heard = word and word[0].strip(" \t\r\n\f_-").lower()
+            if heard and not (tag in ("p", *HEADINGS) and SOFT_NAMES.match(heard)):
+                found = heard
         if name == "role" and value.strip().lower() in OTHER_ROLES:
             if tag not in OTHER_MAYBE or value.strip().lower() != "form":
                 return "surely"
@@ -194,6 +203,7 @@ def discarded(lengths: np.ndarray, content: np.ndarray, named: list[bool], maybe
 
     Elements that stand beside each other under one word count together; one inside another of the same word counts apart.
     Beside an article (``named``: what is in one) with selected text of its own, text outside articles does not speak for a word.
+    What readers wrote goes even where it holds most of the selected text, if a tenth of that stands elsewhere.
     """
     beside = any(named[k] and not maybes[k] for k in np.flatnonzero(content))
     held: dict[tuple[str, int], float] = {}
@@ -201,10 +211,51 @@ def discarded(lengths: np.ndarray, content: np.ndarray, named: list[bool], maybe
         for e in maybes[k] if named[k] or not beside else ():
             held[e] = held.get(e, 0.0) + lengths[k]
     total = float(lengths[content].sum())
-    drop = {e for m in maybes for e in m if held.get(e, 0.0) <= 0.5 * total}
+    readers = {e for m in maybes for e in m if e[0] in READER_NAMES}
+    elsewhere = sum(lengths[k] for k in np.flatnonzero(content) if readers.isdisjoint(maybes[k]))
+    drop = {e for m in maybes for e in m if held.get(e, 0.0) <= 0.5 * total or e in readers and elsewhere >= 0.1 * total}
     return drop if any(drop.isdisjoint(maybes[k]) for k in np.flatnonzero(content)) else set()
 
 
+def reader_parts(texts: list[str], blocks: list[int], inside: list[int], tags: list[str], parents: list[int]) -> list[bool]:
+    """Of each leaf whether it is a notice about cookies, or stands behind a heading over what readers wrote.
+
+    What is behind such a heading reaches to the end of the heading's parent, or to the parent's next heading of that rank or above.
+    """
+    out = [False] * len(texts)
+    whole: dict[int, str] = {}
+    for t, b in zip(texts, blocks, strict=True):
+        whole[b] = whole.get(b, "") + t
+    found = {b for b, t in whole.items() if len(t) <= 400 and COOKIES.search(t)}
+    open_: list[tuple[int, int]] = []  # parent and rank of headings that are in force
+    above: dict[int, set[int]] = {}
+
+    def chain(c: int) -> set[int]:
+        if c not in above:
+            held, at = set(), c
+            while at >= 0:
+                held.add(at)
+                at = parents[at]
+            above[c] = held
+        return above[c]
+
+    headings = any(t in HEADINGS for t in tags)
+    for k, (b, c) in enumerate(zip(blocks, inside, strict=True)):
+        if b in found:
+            out[k] = True
+        if not headings or not open_ and (c < 0 or tags[c] not in HEADINGS):
+            continue
+        held = chain(c)
+        open_ = [(p, rank) for p, rank in open_ if p in held or p < 0]
+        if c >= 0 and tags[c] in HEADINGS:
+            rank = int(tags[c][1])
+            open_ = [(p, r) for p, r in open_ if not (parents[c] == p and rank <= r)]
+            if READER_HEADING.fullmatch(" ".join(whole[b].split())):
+                open_.append((parents[c], rank))
+        out[k] = out[k] or bool(open_)
+    return out
+
+
 def _inside_of(parents: list[int], chosen: set[int]) -> list[bool]:
     """Of each container, and at the end of none, whether it is a chosen one or inside one."""
     out = [False] * (len(parents) + 1)
@@ -224,6 +275,7 @@ def main_text(page: str | None, share: float = 0.5) -> str:
     for c, p in enumerate(parents):
         in_article[c] = in_article[p] or tags[c] in ("article", "main")
     decoded = [html_lib.unescape(t) if "&" in t else t for t in texts]
+    others = [o or r for o, r in zip(others, reader_parts(decoded, blocks, inside, tags, parents), strict=True)]
     own = np.array([not o for o in others])
     lengths = np.array([len(t.strip()) for t in decoded], dtype=np.float64) * own
     marks = np.array([len(PUNCTUATION.findall(t)) if o else 0 for t, o in zip(decoded, own, strict=True)], dtype=np.float64)

@@ -83,3 +83,33 @@ def test_path_scores_against_a_loop():
             weight = sum(w * lengths[j] for j, w in near)
             want.append(sum(w * lengths[j] * fused[j] for j, w in near) / weight if weight > 0 else 0.0)
         assert np.allclose(H.path_scores(paths, lengths, marks), want)
+
+
+main_text = H.main_text
+STORY = "".join(f"<p>This is sentence {k} of the story, long enough, with commas, and a full stop at its end.</p>" for k in range(4))
+
+
+def test_what_readers_wrote():
+    talk = "".join(f"<li><b>Reader {k}</b> <i>2024-01-0{k + 1}</i><p>I think, as ever, that this is {k} times better than before, really!</p></li>" for k in range(9))
+    plain = main_text(f"<body><article>{STORY}</article></body>")
+    for comments in (
+        f"<section><h2>Comments</h2><ol>{talk}</ol></section>",
+        f"<section><h3>9 Responses</h3><ol>{talk}</ol></section>",
+        f"<div><h2>Comments (9)</h2><ul>{talk}</ul></div>",
+        f"<div class=comments>{talk}</div>",
+        f"<h2>Leave a reply</h2><ol>{talk}</ol>",
+    ):
+        assert main_text(f"<body><article>{STORY}</article>{comments}</body>") == plain, comments
+        assert main_text(f"<body><div>{STORY}{comments}</div></body>") == plain, comments
+    after = main_text(f"<body><article>{STORY}<h3>Comments</h3><p>Short, but said.</p><h2>Part two</h2><p>And on it goes, in length, with commas.</p></article></body>")
+    assert "said" not in after and after.endswith("Part two\n\nAnd on it goes, in length, with commas.")
+    kept = main_text(f"<body><article><h2>Comments on the treaty</h2>{STORY}</article></body>")
+    assert kept.startswith("Comments on the treaty") and "sentence 3" in kept
+
+
+def test_names_of_paragraphs_formulas_and_cookies():
+    page = f"<body><article>{STORY}<p class='reply'>He gave a reply that is part of the story, and was long.</p><p class='social'>Social history, too, is told in this part.</p></article></body>"
+    assert "He gave a reply" in main_text(page) and "Social history" in main_text(page)
+    assert "Buy now" not in main_text(f"<body><article>{STORY}<p class='ad'>Buy now, buy more!</p></article></body>")
+    assert "E = m c2 holds" in main_text(f"<body><article>{STORY}<p><math><mi>E</mi> <mo>=</mo> <mi>m</mi> <mi>c</mi><mn>2</mn><annotation>E=mc^2</annotation></math> holds.</p></article></body>")
+    assert "cookies" not in main_text(f"<body><div><p>We use cookies to make this site better.</p>{STORY}</div></body>")
