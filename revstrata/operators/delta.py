@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from revstrata.shipping import ship
 
-#: Lines of old times lines of new up to which a stretch is compared line by line.
-DENSE = 250_000
+#: Lines of old times lines of new up to which a stretch is compared line by line, and how often longer ones are cut again.
+DENSE, DEEP = 250_000, 8
 
 
 def _lines(text: bytes) -> list[bytes]:
@@ -25,7 +25,7 @@ def _lines(text: bytes) -> list[bytes]:
     return out if out[-1] else out[:-1]
 
 
-def _anchors(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
+def _anchors(a: list, b: list) -> list[tuple[int, int]]:
     """Pairs of places of lines that occur once in either, rising in both: the longest such sequence."""
     once_a, twice_a, twice_b = {x: k for k, x in enumerate(a)}, Counter(a), Counter(b)
     tails: list[int] = []
@@ -43,11 +43,22 @@ def _anchors(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _runs(a: list[bytes], b: list[bytes]) -> Iterator[tuple[list, list]]:
+    """The runs of 1, 2, 4, ... lines that begin at each line of either, as things to compare."""
+    x, y, k = list(a), list(b), 1
+    while x and y:
+        yield x, y
+        names: dict[tuple, int] = {}
+        x, y = ([names.setdefault((r[n], r[n + k]), len(names)) for n in range(len(r) - k)] for r in (x, y))
+        k *= 2
+
+
 def line_hunks(old: bytes, new: bytes) -> list[tuple[int, int, bytes]]:
     """(start, end, replacement) in bytes of ``old``, at line ends, in order; applying them gives ``new``.
 
-    Long texts are cut at lines that occur once in both, so that the work does not grow with the square of their lines; a long
-    stretch without any is replaced as a whole.
+    Long texts are cut at lines that occur once in both, or, where there are none, at the shortest runs of 2, 4, 8, ... lines that do,
+    and so are the stretches between; so the work does not grow with the square of their lines. Only a long stretch in which
+    no run occurs once in both is replaced as a whole.
     """
     a, b = _lines(old), _lines(new)
     at = [0]
@@ -55,7 +66,7 @@ def line_hunks(old: bytes, new: bytes) -> list[tuple[int, int, bytes]]:
         at.append(at[-1] + len(line))
     out: list[tuple[int, int, bytes]] = []
 
-    def between(i1: int, i2: int, j1: int, j2: int, cut: bool = True) -> None:
+    def between(i1: int, i2: int, j1: int, j2: int, deep: int = 0) -> None:
         while i1 < i2 and j1 < j2 and a[i1] == b[j1]:
             i1, j1 = i1 + 1, j1 + 1
         while i1 < i2 and j1 < j2 and a[i2 - 1] == b[j2 - 1]:
@@ -69,15 +80,16 @@ def line_hunks(old: bytes, new: bytes) -> list[tuple[int, int, bytes]]:
                 if tag != "equal":
                     out.append((at[i1 + x1], at[i1 + x2], b"".join(b[j1 + y1 : j1 + y2])))
         else:
-            pairs = _anchors(a[i1:i2], b[j1:j2]) if cut else []
+            tried = (_anchors(x, y) for x, y in _runs(a[i1:i2], b[j1:j2])) if deep < DEEP else ()
+            pairs = next((p for p in tried if p), None)
             if not pairs:
                 out.append((at[i1], at[i2], b"".join(b[j1:j2])))
                 return
             x, y = i1, j1
             for i, j in pairs:
-                between(x, i1 + i, y, j1 + j, False)
+                between(x, i1 + i, y, j1 + j, deep + 1)
                 x, y = i1 + i + 1, j1 + j + 1
-            between(x, i2, y, j2, False)
+            between(x, i2, y, j2, deep + 1)
 
     between(0, len(a), 0, len(b))
     return out

@@ -90,6 +90,21 @@ def test_addresses(spark):
     assert [(r.url, r.branch) for r in refs.clone_source(parsed, known=spark.createDataFrame([], "oid string")).collect()] == [("https://a", None)]
 
 
+def test_hunks_of_long_texts_without_lines_of_their_own():
+    """Two letters on 20,000 lines, with edits far apart: no line occurs once, runs do."""
+    rng = random.Random(5)
+    lines = [rng.choice([b"x\n", b"y\n"]) for _ in range(20_000)]
+    new = [b"new\n", *lines[:5_000], b"x\n", b"x\n", *lines[5_040:12_000], *lines[12_003:], b"end\n"]
+    a, b = b"".join(lines), b"".join(new)
+    hunks = delta.line_hunks(a, b)
+    assert delta.apply_hunks(a, hunks) == b and sum(len(d) for _, _, d in hunks) < 600
+    same, other = b"x\n" * 3_000, b"x\n" * 2_500 + b"y\n" + b"x\n" * 700
+    assert delta.apply_hunks(same, delta.line_hunks(same, other)) == other
+    for _ in range(60):
+        a, b = (b"".join(rng.choice([b"x\n", b"y\n", b"z"]) for _ in range(rng.randrange(0, 1_400))) for _ in range(2))
+        assert delta.apply_hunks(a, delta.line_hunks(a, b)) == b
+
+
 def test_line_hunks():
     rnd = random.Random(2)
     for n in (0, 1, 5, 40, 1500):
