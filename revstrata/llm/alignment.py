@@ -236,7 +236,11 @@ def linked(docs: DataFrame, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE
                 n += len(rows)
                 low = high
 
-    return written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(of, schema), "links")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:  # a few files that cannot be split would leave most cores idle
+        rows = rows.repartition(cores)
+    return written(rows.mapInArrow(of, schema), "links")
 
 
 def counted(rows: DataFrame, pieces: int) -> DataFrame:
