@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revstrata.operators import mapping, snapshots
+from revstrata.functions.identity import object_id
+from revstrata.operators import mapping, objects, snapshots
 
 #: The kinds of entries, and the kind of object that each points to.
 ENTRY_KINDS = {"changeset": "commit", "changeset-note": "blob", "manifest": "commit", "file": "blob", "file-header": "blob"}
@@ -47,6 +48,25 @@ def heads_of_text(text: Column) -> Column:
     return F.transform(lines, lambda x: F.struct(node(x).alias("node"), F.substring(x, F.instr(x, " ") + 1, F.length(x)).alias("branch")))
 
 
+def manifest_heads(commits: DataFrame, key: str, raw: str) -> DataFrame:
+    """(key, node): the heads of a snapshot's manifests, which are the distinct parents of its commit (key, raw); a commit that cannot be read is an error."""
+    parents = objects.parse_commit(F.col(raw))["parents"]
+    read = F.when(parents.isNull(), F.raise_error(F.concat(F.lit("no commit: "), F.col(key).cast("string"))).cast("array<string>")).otherwise(parents)
+    return commits.select(key, F.explode(F.array_distinct(read)).alias("node"))
+
+
+def added_objects(held: DataFrame, new: DataFrame) -> DataFrame:
+    """(oid, kind, content): ``held`` of these columns with ``new`` (kind, content), each object once, under the hash of its kind and content.
+
+    What is held already is not written again; a kind other than commit, tree and blob is an error.
+    """
+    kind = F.when(F.col("kind").isin("commit", "tree", "blob"), F.col("kind")).otherwise(F.raise_error(F.concat(F.lit("no kind of object: "), "kind")).cast("string"))
+    named = new.select(kind.alias("kind"), F.coalesce(F.col("content").cast("binary"), F.lit("").cast("binary")).alias("content"))
+    named = named.withColumn("oid", object_id(F.col("kind"), F.col("content")))
+    once = named.groupBy("oid").agg(F.first("kind").alias("kind"), F.first("content").alias("content"))
+    return mapping.put_if_absent(held.select("oid", "kind", F.col("content").cast("binary").alias("content")), once, "oid")
+
+
 def refs_under(refs: DataFrame, objects: DataFrame, prefix: str) -> DataFrame:
     """(name, oid) of the references under a prefix that point to commits of ``objects`` (oid, kind)."""
     commits = objects.where("kind = 'commit'").select("oid")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from revstrata.functions import authorship, identity, text
 from revstrata.operators import dag, delta, integrity, mapping, paths, refs, snapshots, tags
-from revstrata.plans import authoring, checks, exchange, graphs, live, stores, transfers, trees, views  # noqa: F401  these register their queries
+from revstrata.plans import authoring, checks, exchange, graphs, live, peers, stores, transfers, trees, views  # noqa: F401  these register their queries
 from revstrata.plans.catalog import QUERIES, SQL, query
 from revstrata.plans.views import DAG_SQL, ENTRIES_SQL, EVEN_ODD, MAPPING_SQL, TAGS_SQL
 from revstrata.sources import bundle
