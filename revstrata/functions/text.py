@@ -72,13 +72,13 @@ def attr_mode(attr: Column) -> Column:
 
 
 def split_changeset(raw: Column) -> Column:
-    """STRUCT(manifest, author, date, files, body) of ``manifest LF author LF date LF files... LF LF body``."""
+    """STRUCT(manifest, author, date, files, body) of ``manifest LF author LF date LF files... LF LF body``; NULL for lines that are not there."""
     head, body = F.substring_index(raw, "\n\n", 1), F.substring(raw, F.instr(raw, "\n\n") + 2, F.length(raw))
     lines = F.split(head, "\n")
     return F.struct(
-        F.element_at(lines, 1).alias("manifest"),
-        F.element_at(lines, 2).alias("author"),
-        F.element_at(lines, 3).alias("date"),
+        F.get(lines, F.lit(0)).alias("manifest"),
+        F.get(lines, F.lit(1)).alias("author"),
+        F.get(lines, F.lit(2)).alias("date"),
         F.slice(lines, F.lit(4), F.greatest(F.size(lines) - 3, F.lit(0))).alias("files"),
         body.alias("body"),
     )
