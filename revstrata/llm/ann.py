@@ -132,7 +132,8 @@ def improve(graph: DataFrame, nodes: DataFrame, kind: str, round_number: int, de
 
     def some(edges: DataFrame, by: str, other: str) -> DataFrame:
         order = F.row_number().over(Window.partitionBy(by, "fresh").orderBy(F.xxhash64(by, other, F.lit(round_number))))
-        return edges.withColumn("_k", order).where(F.col("_k") <= F.when(F.col("fresh"), FRESH).otherwise(OLD)).drop("_k")
+        # the plain limit comes first: it is the one that Spark applies before the shuffle, so that a hub's edges do not meet in one task
+        return edges.withColumn("_k", order).where(F.col("_k") <= max(FRESH, OLD)).where(F.col("_k") <= F.when(F.col("fresh"), FRESH).otherwise(OLD)).drop("_k")
 
     forward = written(some(graph.select("u", "v", "fresh"), "u", "v"), "forward")
     backward = some(forward, "v", "u")
