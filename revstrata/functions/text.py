@@ -90,9 +90,13 @@ def manifest_line(line: Column) -> Column:
     return F.struct(F.substring_index(line, "\x00", 1).alias("path"), F.substring(rest, 1, 40).alias("file_node"), F.substring(rest, 41, 1).alias("attr"))
 
 
+#: Labels that name something else.
+RESERVED_LABELS = ("tip", ".", "null")
+
+
 def bad_label(label: Column) -> Column:
     """Whether a label is reserved, all digits, edged by white space, empty, or holds a colon, NUL or line end."""
-    return label.isin("tip", ".", "null") | label.rlike(r"^[0-9]+$") | label.rlike(r"[:\x00\n\r]") | label.rlike(r"^[ \t\n\f\r]|[ \t\n\f\r]$") | (label == "")
+    return label.isin(*RESERVED_LABELS) | label.rlike(r"^[0-9]+$") | label.rlike(r"[:\x00\n\r]") | label.rlike(r"^[ \t\n\f\r]|[ \t\n\f\r]$") | (label == "")
 
 
 def metadata_branches(url: Column) -> Column:

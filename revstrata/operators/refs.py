@@ -32,6 +32,7 @@ def listing(nodes: DataFrame, edges: DataFrame, bookmarks: DataFrame | None = No
     """
     found = dag.branch_heads(nodes.select("rev", "branch"), edges).join(nodes.select("rev", "node", "closed"), "rev")
     parts = []
+    # fixed values: the prefixes of these references
     if style in ("heads", "all"):
         parts.append(found.select(F.concat(F.lit("refs/heads/branches/"), "branch", F.lit("/"), "node").alias("ref"), "node"))
     if style in ("tips", "all"):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from revstrata.functions import identity, text
 from revstrata.operators import dag, integrity, refs
 
+#: The identifiers of a small repository of the tests' model.
 ROWS = [
     (0, "a", None, None, "f92470d7f6966a39dfbced6a525fe81ebf5c37b9", "a0c8bcbbb45c63b90b70ad007bf38961f64f2af0", "b789fdd96dc2f3bd229c1dd8eedf0fc60e2b68e3"),
     (1, "b", 0, None, "636e60525868096cbdc961870493510558f41d2f", "a539ce0c1a22b0ecf34498f9f5ce8ea56df9ecb7", "1e88685f5ddec574a34c70af492f95b6debc8741"),
