@@ -16,6 +16,10 @@ from revstrata.operators.scratch import cut as _cut
 from revstrata.operators.sweep import derived, sweep
 
 
+#: Nodes that discovery picks by sorting; of more it takes a share by their hashes.
+SAMPLED = 10_000
+
+
 def edges_of(nodes: DataFrame) -> DataFrame:
     """(child, parent) of (rev, p1, p2); parents that are not nodes are dropped."""
     pairs = nodes.select(F.col("rev").alias("child"), F.explode(F.array_compact(F.array("p1", "p2"))).alias("parent")).distinct()
@@ -237,11 +241,25 @@ def rewrite(nodes: DataFrame, inside: DataFrame, new_id: Callable[[str | None, s
     return derived(part.select("rev", "p1", "p2", "p1_id", "p2_id", "content"), new_id)
 
 
+def _chosen(rows: DataFrame, order: Column, size: int) -> DataFrame:
+    """``size`` revs of ``rows`` (rev, kind), kinds in order and the last by the hash ``order``; if they are many, about as many, and no task sees all."""
+    if size <= SAMPLED:
+        return _cut(rows.orderBy("kind", order).limit(size).select("rev"))
+    rows = _cut(rows)
+    keep = F.lit(False)
+    for kind, n in sorted(rows.groupBy("kind").count().collect()):  # three numbers
+        own = F.col("kind") == kind
+        keep = keep | (own if n <= size else own & (order < F.lit(-(1 << 63) + (size << 64) // n)))
+        size = max(0, size - n)
+    return _cut(rows.where(keep).select("rev"))
+
+
 def discover(nodes: DataFrame, edges: DataFrame, remote: DataFrame, sample: int = 100, seed: int = 7) -> DataFrame:
     """(rev): heads of what ``remote`` knows of ``nodes``, found by asking about samples.
 
     A known node's ancestors are known, an unknown one's descendants are unknown; each round asks about heads, roots
-    and seeded others of what is open, ``sample`` nodes in all. The result is that of :func:`common_heads`.
+    and seeded others of what is open: ``sample`` nodes in the first and twice as many in each that follows, so rounds grow with the
+    logarithm of the nodes, however many heads there are. The result is that of :func:`common_heads`.
     """
     open_, known = nodes.select("rev"), nodes.select("rev").limit(0)
     turn = 0
@@ -250,7 +268,7 @@ def discover(nodes: DataFrame, edges: DataFrame, remote: DataFrame, sample: int
         tops = heads(open_, edges).select("rev", F.lit(0).alias("kind"))
         bottoms = roots(open_, edges).select("rev", F.lit(1).alias("kind"))
         asked = tops.unionAll(bottoms).unionAll(open_.select("rev", F.lit(2).alias("kind"))).groupBy("rev").agg(F.min("kind").alias("kind"))
-        asked = _cut(asked.orderBy("kind", order).limit(sample).select("rev"))
+        asked = _chosen(asked, order, sample << turn)
         yes = _closure(edges, asked.join(remote, "rev", "left_semi"), False)
         no = _closure(edges, asked.join(remote, "rev", "left_anti"), True)
         known = _cut(known.unionAll(yes.join(open_, "rev", "left_semi")))

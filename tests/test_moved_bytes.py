@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
-from revstrata.operators import transfer
+from revstrata.operators import dag, transfer
 from revstrata.plans import registry, transfers
 from test_transfer import ROWS, history
 
@@ -49,3 +49,15 @@ def test_deltas_with_and_without_texts_at_hand(spark, monkeypatch, size, version
 def test_imports_move_rows_a_few_times(spark):
     n = transfers.history(spark, SF).count()
     assert moved_by(spark, run(spark, "bundle_import")) < 1500 * n
+
+
+def test_discovery_takes_few_rounds_for_many_heads(spark, monkeypatch):
+    turns = []
+    chosen = dag._chosen
+    monkeypatch.setattr(dag, "_chosen", lambda rows, order, size: turns.append(size) or chosen(rows, order, size))
+    monkeypatch.setattr(dag, "SAMPLED", 50)
+    nodes = spark.range(800).select(F.col("id").alias("rev"), F.when(F.col("id") > 0, F.lit(0)).alias("p1"), F.lit(None).cast("long").alias("p2"))  # a root with 799 heads
+    remote = nodes.where("rev % 2 = 0").select("rev")
+    got = dag.discover(nodes, dag.edges_of(nodes), remote, sample=5)
+    assert {r.rev for r in got.collect()} == set(range(2, 800, 2))
+    assert len(turns) < 12 and turns[:3] == [5, 10, 20]
