@@ -18,6 +18,8 @@ from revstrata.operators.sweep import derived, sweep
 
 #: Nodes that discovery picks by sorting; of more it takes a share by their hashes.
 SAMPLED = 10_000
+#: One node in so many is the end of a run when chains are walked.
+SPLIT = 16
 
 
 def edges_of(nodes: DataFrame) -> DataFrame:
@@ -59,16 +61,17 @@ def topological_heads(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return branch_heads(nodes, edges).join(edges.select(F.col("parent").alias("rev")), "rev", "left_anti")
 
 
-def _runs(edges: DataFrame, here: str, there: str) -> tuple[DataFrame, DataFrame]:
+def _runs(edges: DataFrame, here: str, there: str, split: int) -> tuple[DataFrame, DataFrame]:
     """Runs along edges (here, there): (rev, run, pos) of all nodes but the runs' ends, and the edges (run, next) between runs.
 
-    An edge lies inside a run if it is the only one from ``here`` and the only one to ``there``. A run is named after its
+    An edge lies inside a run if it is the only one from ``here`` and the only one to ``there``, and not one of those, about one in
+    ``split`` by their hashes, at which runs are cut: so runs stay short, and so do the rounds over all nodes. A run is named after its
     end, from which ``pos`` counts; a node that is not in the first table is the end of its own run. Edges between runs go
     from an end to the first node of the next.
     """
     sole_from = edges.groupBy(here).agg(F.count("*").alias("_n")).where("_n = 1").select(here)
     sole_to = edges.groupBy(there).agg(F.count("*").alias("_n")).where("_n = 1").select(there)
-    inner = edges.join(sole_from, here, "left_semi").join(sole_to, there, "left_semi")
+    inner = edges.where(F.pmod(F.xxhash64(here, F.lit(5)), F.lit(split)) > 0).join(sole_from, here, "left_semi").join(sole_to, there, "left_semi")
     jumps = _cut(inner.select(F.col(here).alias("rev"), F.col(there).alias("run"), F.lit(1).cast("long").alias("pos")))
     links = jumps.select(F.col("rev").alias(here), F.col("run").alias(there))
     # a run that is longer than all edges goes round in a circle
@@ -171,21 +174,44 @@ def strip(nodes: DataFrame, edges: DataFrame, starts: DataFrame) -> DataFrame:
     return nodes.join(descendants(nodes, edges, starts), "rev", "left_anti")
 
 
+def _told_apart(links: DataFrame, start: DataFrame) -> DataFrame | None:
+    """(number, id): a number for each identifier by its hash, written; None where two identifiers have one hash."""
+    every = links.select("id").unionAll(links.select(F.col("prev").alias("id"))).unionAll(start.select("id"))
+    names = _cut(every.groupBy(F.xxhash64("id").alias("number")).agg(F.min("id").alias("id"), (F.min("id") < F.max("id")).alias("_same")))
+    return names.select("number", "id") if names.where("_same").isEmpty() else None
+
+
 def linear_walk(links: DataFrame, start: DataFrame) -> DataFrame:
-    """(id, step) along (id, prev) from ``start`` back to the chain's begin: over runs of links, and by doubling over the chain of runs."""
-    runs, between = _runs(links.where("prev is not null").select("id", "prev"), "id", "prev")
+    """(id, step) along (id, prev) from ``start`` back to the chain's begin: over runs of links, and by doubling over the chain of runs.
+
+    The walk goes over numbers, which are the identifiers' hashes where these are all different. A circle is an error.
+    """
+    links = links.where("prev is not null").select("id", "prev")
+    known = start.where("id IS NOT NULL")
+    names = _told_apart(links, known)
+    if names is None:
+        return _walk(links, start)
+    of = lambda c: F.xxhash64(c).alias(c)
+    steps = _walk(links.select(of("id"), of("prev")), known.select(of("id"))).withColumnRenamed("id", "number")
+    return steps.join(names, "number").select("id", "step")
+
+
+def _walk(links: DataFrame, start: DataFrame) -> DataFrame:
+    runs, between = _runs(links, "id", "prev", SPLIT)
     lengths = runs.groupBy("run").agg(F.max("pos").alias("top"))
     entered = _cut(_placed(start.select(F.col("id").alias("rev")), runs).select("run", F.col("pos").alias("top"), F.lit(0).cast("long").alias("step")))
     weighed = between.join(lengths.select(F.col("run").alias("next"), "top"), "next", "left").select("run", "next", F.coalesce("top", F.lit(0)).cast("long").alias("top"))
     # a jump's step counts from a run's end to the first node of the run it leads to
     jumps, reached = _cut(weighed.select("run", "next", "top", F.lit(1).cast("long").alias("step"))), entered
-    while True:
+    for _ in range(jumps.count().bit_length() + 2):
         new = _cut(reached.join(jumps.withColumnsRenamed({"top": "_top", "step": "_step"}), "run").select(F.col("next").alias("run"), F.col("_top").alias("top"), (F.col("step") + F.col("top") + F.col("_step")).alias("step")))
         if new.isEmpty():
             break
         reached = _cut(reached.unionAll(new))
         there = jumps.select(F.col("run").alias("next"), F.col("next").alias("_next"), F.col("top").alias("_top"), F.col("step").alias("_step"))
         jumps = _cut(jumps.join(there, "next").select("run", F.col("_next").alias("next"), F.col("_top").alias("top"), (F.col("step") + F.col("top") + F.col("_step")).alias("step")))
+    else:
+        raise ValueError("a chain goes round in a circle")
     inside = runs.join(reached, "run").where(F.col("pos") <= F.col("top"))
     ends = reached.select(F.col("run").alias("id"), (F.col("step") + F.col("top")).cast("int").alias("step"))
     return ends.unionAll(inside.select(F.col("rev").alias("id"), (F.col("step") + F.col("top") - F.col("pos")).cast("int").alias("step")))

@@ -61,3 +61,24 @@ def test_discovery_takes_few_rounds_for_many_heads(spark, monkeypatch):
     got = dag.discover(nodes, dag.edges_of(nodes), remote, sample=5)
     assert {r.rev for r in got.collect()} == set(range(2, 800, 2))
     assert len(turns) < 12 and turns[:3] == [5, 10, 20]
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_chains_are_walked_in_short_runs(spark, monkeypatch, same):
+    n = 20_000
+    of = lambda k: F.sha1(k.cast("string"))
+    links = spark.range(n).select(of(F.col("id")).alias("id"), F.when(F.col("id") > 0, of(F.col("id") - 1)).alias("prev"))
+    start = spark.range(1).select(of(F.lit(n - 1)).alias("id"))
+    want = spark.range(n).select(of(F.col("id")).alias("id"), (n - 1 - F.col("id")).cast("int").alias("step"))
+    if same:  # as if two identifiers had one hash
+        monkeypatch.setattr(dag, "_told_apart", lambda links, start: None)
+    got = []
+    size = moved_by(spark, lambda: got.append({tuple(r) for r in dag.linear_walk(links, start).collect()}))
+    assert got[0] == {tuple(r) for r in want.collect()}
+    assert same or size < 1000 * n
+
+
+def test_a_circle_of_split_runs_is_an_error(spark):
+    circle = spark.range(400).select("id", F.pmod(F.col("id") + 1, F.lit(400)).alias("prev"))
+    with pytest.raises(ValueError, match="circle"):
+        dag.linear_walk(circle, spark.range(1)).collect()
