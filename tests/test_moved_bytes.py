@@ -82,3 +82,8 @@ def test_a_circle_of_split_runs_is_an_error(spark):
     circle = spark.range(400).select("id", F.pmod(F.col("id") + 1, F.lit(400)).alias("prev"))
     with pytest.raises(ValueError, match="circle"):
         dag.linear_walk(circle, spark.range(1)).collect()
+
+
+def test_overlays_move_rows_a_few_times(spark):
+    n = spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert moved_by(spark, run(spark, "bundle_overlay")) < 2500 * n
