@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
-from revstrata.operators import dag, transfer
+from revstrata.operators import dag, sweep, transfer
 from revstrata.plans import registry, transfers
 from test_transfer import ROWS, history
 
@@ -87,3 +87,24 @@ def test_a_circle_of_split_runs_is_an_error(spark):
 def test_overlays_move_rows_a_few_times(spark):
     n = spark.read.parquet(f"{SF}/orders.parquet").count()
     assert moved_by(spark, run(spark, "bundle_overlay")) < 2500 * n
+
+
+def test_what_both_have_is_one_sweep(spark, monkeypatch):
+    turns = []
+    swept = dag.sweep
+    monkeypatch.setattr(dag, "sweep", lambda *a, **k: turns.append(1) or swept(*a, **k))
+    nodes = spark.range(40).select(F.col("id").alias("rev"), F.when(F.col("id") > 0, F.expr("(id - 1) div 2")).alias("p1"), F.lit(None).cast("long").alias("p2"))
+    got = dag.common_heads(nodes, dag.edges_of(nodes), nodes.where("rev IN (17, 20)"), nodes.where("rev IN (18, 39)"))
+    assert {r.rev for r in got.collect()} == {8, 9} and len(turns) == 1
+
+
+def test_blocks_are_few(spark):
+    assert sweep.Blocks(spark.range(1 << 20).withColumnRenamed("id", "rev")).n == 1
+
+
+def test_identifiers_are_derived_in_few_stages(spark):
+    rows = spark.range(70_000).select(F.col("id").alias("rev"), F.when(F.col("id") > 0, F.col("id") - 1).alias("p1"), F.lit(None).cast("long").alias("p2"), F.lit(None).cast("string").alias("p1_id"), F.lit(None).cast("string").alias("p2_id"), F.lit(b"x").alias("content"))
+    before = set(moved(spark))
+    made = sweep.derived(rows, lambda a, b, content: str(int(a or 0) + 1))
+    assert made.where(F.col("new_node").cast("long") != F.col("rev") + 1).isEmpty() and made.count() == 70_000
+    assert len(set(moved(spark)) - before) < 15
