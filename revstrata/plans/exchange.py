@@ -79,6 +79,7 @@ def merge_manifest_ancestry(spark, d):
 @query("SELECT doc_id, sha1(encode(replace(coalesce(text, ''), 'e', 'EE') || 'end')) AS digest FROM documents")
 def byte_deltas(spark, d):
     """Every document edited in all its lines, as a delta of bytes that is packed and applied again."""
+    delta.small_batches(spark)
     old = F.coalesce("text", F.lit(""))
     new = F.concat(F.replace(old, F.lit("e"), F.lit("EE")), F.lit("end")).cast("binary")
     rows = load(spark, d, "documents").select("doc_id", old.cast("binary").alias("old"), new.alias("new"))
