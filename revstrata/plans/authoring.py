@@ -155,9 +155,9 @@ def tree_paths(spark, d):
   SELECT * FROM t UNION ALL SELECT l_orderkey, '', sha1(encode('tree ' || length(body) // 2) || unhex('00') || unhex(body)) FROM r""")
 def tree_ids(spark, d):
     rows = load(spark, d, "lineitem").select(
-        "l_orderkey", F.concat(F.lit("d"), F.col("l_linenumber").cast("string"), F.lit("/"), F.col("l_partkey").cast("string")).alias("path"), F.sha1(F.col("l_suppkey").cast("string")).alias("oid")
+        "l_orderkey", F.concat(F.lit("d"), F.col("l_linenumber").cast("string"), F.lit("/"), F.col("l_partkey").cast("string")).alias("path"), F.unhex(F.sha1(F.col("l_suppkey").cast("string"))).alias("oid")
     )
-    files = rows.groupBy("l_orderkey", "path").agg(F.min("oid").alias("oid")).withColumn("mode", F.lit("100644"))
+    files = rows.groupBy("l_orderkey", "path").agg(F.lower(F.hex(F.min("oid"))).alias("oid")).withColumn("mode", F.lit("100644"))
     return paths.tree_objects(files, ["l_orderkey"])
 
 
