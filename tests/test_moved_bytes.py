@@ -2,7 +2,8 @@
 
 import pytest
 from pyspark.sql import functions as F
-from revstrata.operators import dag, sweep, transfer
+from revstrata.operators import dag, paths, sweep, transfer
+from revstrata.operators import history as history_of
 from revstrata.plans import registry, transfers
 from test_transfer import ROWS, history
 
@@ -108,3 +109,21 @@ def test_identifiers_are_derived_in_few_stages(spark):
     made = sweep.derived(rows, lambda a, b, content: str(int(a or 0) + 1))
     assert made.where(F.col("new_node").cast("long") != F.col("rev") + 1).isEmpty() and made.count() == 70_000
     assert len(set(moved(spark)) - before) < 15
+
+
+def test_small_batches_bound_deltas_of_texts(spark):
+    registry.queries()["byte_deltas"](spark, SF)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 200
+
+
+def test_changes_of_nodes_that_are_bytes(spark):
+    trees = spark.createDataFrame([(0, "a", b"\xff"), (1, "a", b"\xfe"), (1, "b", b"\x01")], "commit long, path string, file_node binary")
+    commits = spark.createDataFrame([(0, None, None), (1, 0, None)], "commit long, p1 long, p2 long")
+    got = {(r.commit, r.path, bytes(r.file_node), tuple(p and bytes(p) for p in r.parents)) for r in history_of.changes_of(trees, commits).collect()}
+    assert got == {(0, "a", b"\xff", ()), (1, "a", b"\xfe", (b"\xff",)), (1, "b", b"\x01", (None,))}
+
+
+def test_trees_of_what_is_no_identifier(spark):
+    rows = spark.createDataFrame([(1, "d/a", "100644", "no hex")], "k long, path string, mode string, oid string")
+    with pytest.raises(Exception, match="no identifier is no hex"):
+        paths.tree_objects(rows, ["k"]).collect()
