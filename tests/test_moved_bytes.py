@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from revstrata.functions import identity
 from revstrata.operators import dag, paths, sweep, transfer
 from revstrata.operators import history as history_of
 from revstrata.plans import registry, transfers
@@ -127,3 +128,34 @@ def test_trees_of_what_is_no_identifier(spark):
     rows = spark.createDataFrame([(1, "d/a", "100644", "no hex")], "k long, path string, mode string, oid string")
     with pytest.raises(Exception, match="no identifier is no hex"):
         paths.tree_objects(rows, ["k"]).collect()
+
+
+@pytest.fixture
+def joined(spark):
+    """As where tables are large: no side of a join is sent to all tasks."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def rows_of(spark, table):
+    return spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def test_reclone_moves_rows_a_few_times(joined):
+    assert moved_by(joined, run(joined, "reclone")) < 2800 * rows_of(joined, "orders")
+
+
+def test_packed_identifiers_and_other_texts(spark):
+    texts = ["0" * 40, "ab" * 20, "AB" * 20, "", "x", "a" * 19, "é" * 20, "a" * 41, "00" * 20 + "\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", identity.packed(F.col("t")).alias("p"))
+    got = df.select("t", "p", identity.unpacked(F.col("p")).alias("u")).collect()
+    assert all(r.t == r.u for r in got) and len({bytes(r.p) for r in got if r.p is not None}) == 9 and len(got[0].p) == 20
+
+
+def test_what_goes_along_with_derived_identifiers(spark):
+    rows = spark.range(50).select(F.col("id").alias("rev"), F.when(F.col("id") > 0, F.col("id") - 1).alias("p1"), F.lit(None).cast("long").alias("p2"), F.lit(None).cast("string").alias("p1_id"), F.lit(None).cast("string").alias("p2_id"), F.lit(b"x").alias("content"), F.col("id").cast("string").cast("binary").alias("name"))
+    for size in (7, 1 << 20):
+        made = sweep.derived(rows, lambda a, b, content: str(int(a or 0) + 1), size=size, kept="name", revs=spark.range(50).withColumnRenamed("id", "rev"))
+        assert {(r.rev, bytes(r.name), r.new_node) for r in made.collect()} == {(k, str(k).encode(), str(k + 1)) for k in range(50)}
