@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from revstrata.functions import text
-from revstrata.operators import dag, delta, history, integrity, paths, refs, tags, transfer
+from revstrata.functions.identity import packed
+from revstrata.operators import dag, delta, history, integrity, live, paths, refs, tags, transfer
 from revstrata.plans import transfers, views
 from revstrata.plans.authoring import SIDES_SQL, _three
 from revstrata.plans.catalog import query
@@ -29,17 +30,15 @@ def getbundle(spark, d):
     rows = transfers.history(spark, d)
     rows = dag._cut(rows.withColumn("version", F.lit(2)))
     sets = rows.where("section = 'changeset'").select(F.col("place").alias("rev"), "node", "p1", "p2")
-    revs = sets.select("node", "rev")
-    nodes = sets
-    for p in ("p1", "p2"):
-        nodes = nodes.join(revs.select(F.col("node").alias(p), F.col("rev").alias(f"{p}_rev")), p, "left")
+    revs = sets.select(packed(F.col("node")).alias("node"), "rev")
+    nodes = live.with_parents(sets.select("rev", "node"), sets, None)
     nodes = dag._cut(nodes.select("rev", "node", F.col("p1_rev").alias("p1"), F.col("p2_rev").alias("p2")))
     edges = dag.edges_of(nodes)
     heads, common = nodes.where(f"rev % {LINE} = 5").select("rev"), nodes.where(f"rev % {LINE} = 2").select("rev")
-    sent = transfer.range_revisions(rows, nodes, edges, heads, common)
-    packed = bundle.encode_revisions(transfer.delta_revisions(sent, "bundle").withColumn("spec", F.lit("zstd-v2")), "bundle", "spec")
-    got = bundle.decode_revisions(packed, "bundle").where("section = 'changeset'")
-    return got.join(revs, "node").select("rev")
+    sent = dag._cut(transfer.range_revisions(rows, nodes, edges, heads, common))  # it is read more than once
+    encoded = bundle.encode_revisions(transfer.delta_revisions(sent, "bundle").withColumn("spec", F.lit("zstd-v2")), "bundle", "spec")
+    got = bundle.decode_revisions(encoded, "bundle").where("section = 'changeset'")
+    return got.select(packed(F.col("node")).alias("node")).join(revs, "node").select("rev")
 
 
 @query(ONE_SIDED_SQL)
