@@ -55,14 +55,15 @@ class Digests:
 
 
 def store(entries: DataFrame, keys: list[str], value: str, home: str | None = None) -> Digests:
-    """Write the digests of all directories of ``entries`` (keys, path, value); ``keys`` name the tree. Paths are unique in a tree."""
+    """Write the digests of all directories of ``entries`` (keys, path, value, also bytes); ``keys`` name the tree. Paths are unique in a tree."""
     spark = entries.sparkSession
     home = home or scratch.folder(spark, "digests")
     rows = entries.select(*keys, "path", _folder("path").alias("folder"), value)
     rows.withColumn("bucket", _bucket(keys)).repartition("bucket").write.partitionBy("bucket").parquet(f"{home}/entries")
     schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
     held = Digests(spark, home, keys, value, 0, schema)
-    own = held.entries().select(*keys, "folder", F.lit("f").alias("kind"), F.col("path").alias("name"), F.col(value).cast("string").alias("what"))
+    what = F.hex(value) if dict(rows.dtypes)[value] == "binary" else F.col(value).cast("string")
+    own = held.entries().select(*keys, "folder", F.lit("f").alias("kind"), F.col("path").alias("name"), what.alias("what"))
     deepest = own.agg(F.max(_depth(F.col("folder")))).first()[0]
     if deepest is None:
         return held

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revstrata.functions.identity import packed, unpacked
 from revstrata.operators import digests, scratch, similarity
 from revstrata.plans import views
 from revstrata.plans.catalog import query
@@ -48,5 +49,5 @@ def similar_renames(spark, d) -> DataFrame:
 @query(f"{EVEN_ODD} SELECT c, path, l.file_node AS \"left\", r.file_node AS \"right\" FROM l FULL JOIN r USING (c, path) WHERE l.file_node IS DISTINCT FROM r.file_node")
 def stored_path_diff(spark, d) -> DataFrame:
     """The difference of :func:`path_diff`, from stored digests of all directories."""
-    left, right = (digests.store(side, ["c"], "file_node") for side in views.sides(spark, d))
-    return digests.compare(left, right)
+    left, right = (digests.store(side.withColumn("file_node", packed(F.col("file_node"))), ["c"], "file_node") for side in views.sides(spark, d))
+    return digests.compare(left, right).select("c", "path", *[unpacked(F.col(c)).alias(c) for c in ("left", "right")])
