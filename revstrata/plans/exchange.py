@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from revstrata.functions import text
-from revstrata.functions.identity import packed
+from revstrata.functions.identity import packed, unpacked
 from revstrata.operators import dag, delta, history, integrity, live, paths, refs, tags, transfer
 from revstrata.plans import transfers, views
 from revstrata.plans.authoring import SIDES_SQL, _three
@@ -59,9 +59,10 @@ def manifest_diff3_one_sided(spark, d):
 def merge_manifest_ancestry(spark, d):
     """Merged manifests where one parent's file may be an ancestor of the other's: over a file between, for two of three suppliers."""
     keys = ["l_suppkey", "path"]
-    files, first, second = _three(spark, d)
+    as_bytes = {c: packed(F.col(c)) for c in ("oid", "file_node")}
+    files, first, second = (side.withColumns(as_bytes) for side in _three(spark, d))
     both = first.select(*keys, F.col("file_node").alias("x")).join(second.select(*keys, F.col("file_node").alias("y")), keys).where("x <> y")
-    none, between = F.lit(None).cast("string"), F.sha1(F.concat("x", F.lit("between"), "y"))
+    none, between = F.lit(None).cast("binary"), packed(F.sha1(F.concat(unpacked(F.col("x")), F.lit("between"), unpacked(F.col("y")))))
     back = F.col("l_suppkey") % 3 == 1
     old, new = F.when(back, F.col("y")).otherwise(F.col("x")), F.when(back, F.col("x")).otherwise(F.col("y"))
     linked = F.col("l_suppkey") % 3 < 2
@@ -72,7 +73,8 @@ def merge_manifest_ancestry(spark, d):
     )
     revisions = both.select(*keys, F.explode(three).alias("r")).select(*keys, "r.*").withColumn("p2", none)
     ancestry = history.file_ancestry(first, second, revisions, keys, "order")
-    return paths.merged_manifest(files, first, second, keys, ancestry).withColumn("parents", F.array_join("parents", " "))
+    merged = paths.merged_manifest(files, first, second, keys, ancestry)
+    return merged.withColumns({"parents": F.array_join(F.transform("parents", unpacked), " "), "file_node": unpacked(F.col("file_node"))})
 
 
 @query("SELECT doc_id, sha1(encode(replace(coalesce(text, ''), 'e', 'EE') || 'end')) AS digest FROM documents")
