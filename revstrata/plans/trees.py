@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revstrata.functions.identity import packed, unpacked
-from revstrata.operators import digests, scratch, similarity
+from revstrata.operators import digests, similarity
 from revstrata.plans import views
 from revstrata.plans.catalog import query
 from revstrata.plans.views import EVEN_ODD
@@ -39,11 +37,14 @@ def similar_renames(spark, d) -> DataFrame:
     docs = load(spark, d, "documents").select("doc_id", text.alias("text"))
     part = F.when(k % 3 == 1, 4).otherwise(3)
     cut_text = F.when(k % 3 == 0, F.col("text")).otherwise(F.substring("text", F.lit(1), F.floor(F.length("text") * part / 5).cast("int")))
-    old = docs.select(F.concat(F.lit("old/"), k.cast("string")).alias("path"), F.sha1("text").alias("blob"), F.col("text").alias("content"))
-    new = docs.select(F.concat(F.lit("new/"), k.cast("string")).alias("path"), F.sha1(cut_text).alias("blob"), cut_text.alias("content"))
-    contents = scratch.cut(old.select("blob", "content").unionByName(new.select("blob", "content")).dropDuplicates(["blob"]))
-    found = [similarity.renames_and_copies(old.drop("content"), new.drop("content"), contents, t).withColumn("threshold", F.lit(t)) for t in THRESHOLDS]
-    return reduce(DataFrame.unionByName, found)
+    blob = lambda content: F.unhex(F.sha1(content)).alias("blob")
+    old = docs.select(F.concat(F.lit("old/"), k.cast("string")).alias("path"), blob("text"), F.col("text").alias("content"))
+    new = docs.select(F.concat(F.lit("new/"), k.cast("string")).alias("path"), blob(cut_text), cut_text.alias("content"))
+    contents = old.select("blob", "content").unionByName(new.select("blob", "content"))
+    found = similarity.renames_and_copies(old.drop("content"), new.drop("content"), contents, min(THRESHOLDS))
+    # a path's source, and a source's best target, are the same at each threshold that their score reaches
+    reached = F.filter(F.array(*[F.lit(t) for t in THRESHOLDS]), lambda t: t <= F.col("score"))
+    return found.withColumn("threshold", F.explode(reached))
 
 
 @query(f"{EVEN_ODD} SELECT c, path, l.file_node AS \"left\", r.file_node AS \"right\" FROM l FULL JOIN r USING (c, path) WHERE l.file_node IS DISTINCT FROM r.file_node")

@@ -67,3 +67,23 @@ def test_stored_digests(spark):
     empty = digests.store(frame(left).limit(0), ["tree"], "v")
     assert digests.compare(a, empty).count() == len(x) and digests.compare(empty, empty).isEmpty()
     assert digests.compare(a, b).where(F.col("tree") == 1).isEmpty()
+
+
+def test_the_query_equals_its_sql_where_lines_change_places(spark, tmp_path):
+    import duckdb
+    from revstrata.plans import registry
+
+    text = {0: "x\ny\n", 1: "a\nb\nc\nd\nzz", 2: "d\nc\nb\na\n", 3: "x\ny\n", 4: None, 5: "", 6: "\n\n\nq", 7: "q\n\n\n\n\n", 8: "ü\nab\nü\ncdefg", 9: "only"}
+    spark.createDataFrame([*text.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.queries()["similar_renames"](spark, str(tmp_path)).select("threshold", "source", "target", "score", "status")
+    got = {tuple(r) for r in got.collect()}
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == set(db.execute(registry.oracle_sql()["similar_renames"]).fetchall())
+    assert (100, "old/2", "new/1", 100, "R") in got  # the same lines in another order, which are another blob
+
+
+def test_texts_of_one_long_and_many_equal_lines(spark):
+    frame = lambda *t: spark.createDataFrame([*t], "blob binary, content string")
+    old, new = frame((b"\xff", "x\n" * 5000 + "y" * 5000), (b"\x01", "z")), frame((b"\xfe", "x\n" * 4000 + "y" * 5000), (b"\x01", "z"))
+    assert [(bytes(r.old), bytes(r.new), r.score) for r in similarity.alike(old, new, 50).collect()] == [(b"\xff", b"\xfe", 86)]

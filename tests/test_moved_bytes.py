@@ -146,6 +146,7 @@ def rows_of(spark, table):
 @pytest.mark.parametrize(("name", "table", "most"), [
     ("reclone", "orders", 2800), ("bundle_overlay", "orders", 2200), ("getbundle", "orders", 2100),
     ("changeset_rebuild", "orders", 750), ("merge_manifest_ancestry", "lineitem", 206), ("stored_path_diff", "lineitem", 309),
+    ("similar_renames", "documents", 3000),
 ])
 def test_joins_move_rows_a_few_times(joined, name, table, most):
     got = moved_by(joined, run(joined, name)) / rows_of(joined, table)
