@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revstrata.functions.identity import packed, unpacked
 from revstrata.functions.text import metadata_branches
 from revstrata.operators import dag
 from revstrata.operators.objects import parse_commit
@@ -35,10 +36,11 @@ def known_answers(asked: DataFrame, nodes: DataFrame, request: str, place: str)
 def phase_keys(nodes: DataFrame, edges: DataFrame, drafts: DataFrame, publishing: bool = True) -> DataFrame:
     """(key, value) that a repository lists for phases: its draft roots by node as ``1``, and ``publishing``, if it is.
 
-    ``nodes`` has (rev, node), ``drafts`` (rev). A draft with a draft parent is no root.
+    ``nodes`` has (rev, node), ``drafts`` (rev). A draft with a draft parent is no root. Roots are found by revs alone; identifiers travel once, as bytes.
     """
-    marked = nodes.join(drafts.select("rev").distinct(), "rev", "left_semi")
-    keys = dag.roots(marked, edges).select(F.col("node").alias("key"), F.lit("1").alias("value"))
+    roots = dag.roots(nodes.select("rev").join(drafts.select("rev").distinct(), "rev", "left_semi"), edges)
+    named = nodes.select("rev", packed(F.col("node")).alias("node")).join(roots, "rev", "left_semi")
+    keys = named.select(unpacked(F.col("node")).alias("key"), F.lit("1").alias("value"))
     if publishing:
         keys = keys.unionByName(nodes.sparkSession.range(1).select(F.lit("publishing").alias("key"), F.lit("True").alias("value")))
     return keys
@@ -46,8 +48,9 @@ def phase_keys(nodes: DataFrame, edges: DataFrame, drafts: DataFrame, publishing
 
 def drafts_of(keys: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(rev) of the drafts that :func:`phase_keys` tell of: the roots and all their descendants."""
-    roots = nodes.join(keys.where("key <> 'publishing' AND value = '1'").select(F.col("key").alias("node")), "node", "left_semi").select("rev")
-    return dag.descendants(nodes, edges, roots)
+    listed = keys.where("key <> 'publishing' AND value = '1'").select(packed(F.col("key")).alias("node"))
+    roots = nodes.select("rev", packed(F.col("node")).alias("node")).join(listed, "node", "left_semi").select("rev")
+    return dag.descendants(nodes, edges, roots, known=True)
 
 
 def push_claims(heads: DataFrame, pushes: DataFrame, key: str) -> DataFrame:

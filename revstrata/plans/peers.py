@@ -103,6 +103,7 @@ def phase_listing(spark, d):
 def phases_read(spark, d):
     """The drafts that a listing of draft roots tells of."""
     n, e = views.graph(spark, d)
+    e = scratch.cut(e)  # read for the roots and for the sweep
     return peer.drafts_of(peer.phase_keys(n, e, n.where("closed")), n, e)
 
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 from revstrata.functions import identity
-from revstrata.operators import dag, paths, sweep, transfer
+from revstrata.operators import dag, paths, peer, sweep, transfer
 from revstrata.operators import history as history_of
 from revstrata.plans import registry, transfers
 from test_transfer import ROWS, history
@@ -146,7 +146,7 @@ def rows_of(spark, table):
 @pytest.mark.parametrize(("name", "table", "most"), [
     ("reclone", "orders", 2800), ("bundle_overlay", "orders", 2200), ("getbundle", "orders", 2100),
     ("changeset_rebuild", "orders", 750), ("merge_manifest_ancestry", "lineitem", 206), ("stored_path_diff", "lineitem", 309),
-    ("similar_renames", "documents", 3000),
+    ("similar_renames", "documents", 3000), ("phases_read", "orders", 250),
 ])
 def test_joins_move_rows_a_few_times(joined, name, table, most):
     got = moved_by(joined, run(joined, name)) / rows_of(joined, table)
@@ -165,3 +165,14 @@ def test_what_goes_along_with_derived_identifiers(spark):
     for size in (7, 1 << 20):
         made = sweep.derived(rows, lambda a, b, content: str(int(a or 0) + 1), size=size, kept="name", revs=spark.range(50).withColumnRenamed("id", "rev"))
         assert {(r.rev, bytes(r.name), r.new_node) for r in made.collect()} == {(k, str(k).encode(), str(k + 1)) for k in range(50)}
+
+
+def test_phases_of_odd_nodes(spark):
+    ids = ["ab" * 20, "cd" * 20, "no hex", None, "", "0" * 40]
+    nodes = spark.createDataFrame([(k, ids[k]) for k in range(6)], "rev long, node string")
+    edges = spark.createDataFrame([(1, 0), (2, 1), (4, 2), (3, -1), (5, 3)], "child long, parent long")
+    drafts = spark.createDataFrame([(1,), (2,), (3,), (-1,), (None,), (1,)], "rev long")  # -1 is no node, so 3 is a root
+    keys = peer.phase_keys(nodes, edges, drafts)
+    assert sorted(map(tuple, keys.collect()), key=str) == [("cd" * 20, "1"), ("publishing", "True"), (None, "1")]
+    assert {r.rev for r in peer.drafts_of(keys, nodes, edges).collect()} == {1, 2, 4}
+    assert {r.rev for r in peer.drafts_of(peer.phase_keys(nodes, edges, drafts.where("rev = 2"), False), nodes, edges).collect()} == {2, 4}
