@@ -8,7 +8,11 @@ written. So the number of jobs follows the blocks and not the generations, a tas
 one block. Blocks that nothing is sent to are passed over.
 
 Every edge and every node carries some fields, all longs. A field goes along an edge where the edge's column of that name is not
-NULL, grows by it, and is combined with the field of the node that it comes to by ``or``, ``max``, ``min`` or ``sum``.
+NULL, grows by it, and is combined with the field of the node that it comes to by ``or``, ``max``, ``min`` or ``sum``; ``any`` is for a
+field that is 0 everywhere and says only that a node is reached.
+
+Written revs take about a byte a row, so Spark would take tables of millions of rows for small ones and send them through the driver: joins are
+told here which way to go, by counts.
 """
 
 from __future__ import annotations
@@ -30,7 +34,10 @@ OPERATORS: dict[str, tuple[Callable[[Column], Column], Callable[[int, int], int]
     "max": (F.max, max),
     "min": (F.min, min),
     "sum": (F.sum, lambda x, y: x + y),
+    "any": (F.max, max),
 }
+#: Rows of a table that may go to every task: those of one that is known to have no more.
+FEW = 1 << 16
 
 
 def _ranked(revs: DataFrame) -> DataFrame:
@@ -46,6 +53,11 @@ def _ranked(revs: DataFrame) -> DataFrame:
     return dealt.select("rev", (F.create_map(*pairs)[F.col("_part")] + at).alias("rank")) if pairs else dealt.select("rev", F.lit(0).cast("long").alias("rank"))
 
 
+def near(rows: DataFrame, n: int | None = None) -> DataFrame:
+    """``rows``, which are ``n`` (counted here if not given), as a side of a join: sent to every task if few, else both sides are dealt by key."""
+    return F.broadcast(rows) if (rows.count() if n is None else n) <= FEW else rows.hint("merge")
+
+
 class Blocks:
     """Which block a rev is in: by its distance from the smallest, or by its rank where revs are far apart."""
 
@@ -79,24 +91,53 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> dict[str, tuple[np.ndarray, np
     return {c: (table[c].fill_null(0).to_numpy(), table[c].is_valid().to_numpy()) for c in table.column_names}
 
 
+def _places(parts: list[np.ndarray]) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+    """The distinct revs of ``parts`` in their order, and what gives the places of revs among them: by a table where they lie close together."""
+    low, high = min(int(p.min()) for p in parts if len(p)), max(int(p.max()) for p in parts if len(p))
+    if high - low > 4 * sum(map(len, parts)):
+        revs = np.unique(np.concatenate(parts))
+        return revs, lambda x: np.searchsorted(revs, x)
+    here = np.zeros(high - low + 1, dtype=bool)
+    for p in parts:
+        here[p - low] = True
+    at = np.cumsum(here, dtype=np.int64) - 1
+    return np.flatnonzero(here) + low, lambda x: at[x - low]
+
+
+def _met(n: int, own: np.ndarray, src: np.ndarray, dst: np.ndarray, ways: np.ndarray) -> np.ndarray:
+    """Which of ``n`` places are reached from ``own`` along ``ways``, in their order."""
+    met = bytearray(n)
+    np.frombuffer(met, dtype=np.uint8)[own] = 1
+    for k in range(0, len(ways), STRETCH):
+        part = ways[k : k + STRETCH]
+        for a, b in zip(src[part].tolist(), dst[part].tolist(), strict=True):
+            if met[a]:
+                met[b] = 1
+    return np.frombuffer(met, dtype=np.uint8) > 0
+
+
 def _solver(fields: dict[str, str], down: bool):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _arrays(batches)
         if held is None:
             return
         (src, _), (dst, is_edge) = held.pop("src"), held.pop("dst")
-        revs = np.unique(np.concatenate([src, dst[is_edge]]))
+        revs, places = _places([src, dst[is_edge]])
         edges, seeds = np.flatnonzero(is_edge), np.flatnonzero(~is_edge)
         edges = edges[np.argsort(src[edges] if down else -src[edges], kind="stable")]
-        src, dst = np.searchsorted(revs, src), np.searchsorted(revs, dst)  # places in revs; those of seeds' dst are not used
+        src, dst = places(src), places(np.where(is_edge, dst, revs[0]))  # places in revs; those of seeds' dst are not used
         columns, reached = [], np.zeros(len(revs), dtype=bool)
         for name, kind in fields.items():
             join, (steps, there) = OPERATORS[kind][1], held.pop(name)
+            own, ways = seeds[there[seeds]], edges[there[edges]]
+            if kind == "any":
+                met = _met(len(revs), src[own], src, dst, ways)
+                columns.append(pa.array(np.zeros(len(revs), np.int64), mask=~met))
+                reached |= met
+                continue
             value: list[int | None] = [None] * len(revs)
-            own = seeds[there[seeds]]
             for a, v in zip(src[own].tolist(), steps[own].tolist(), strict=True):
                 value[a] = v
-            ways = edges[there[edges]]
             for k in range(0, len(ways), STRETCH):
                 part = ways[k : k + STRETCH]
                 for a, b, step in zip(src[part].tolist(), dst[part].tolist(), steps[part].tolist(), strict=True):
@@ -144,7 +185,7 @@ def sweep(edges: DataFrame, seeds: DataFrame, fields: dict[str, str], down: bool
         rows = _combined(own, fields).select(F.col("rev").alias("src"), none.alias("dst"), *fields)
         if inner is not None:
             rows = rows.unionByName(inner.select("src", "dst", *fields))
-        return rows.repartition(1).mapInArrow(solve, kind)
+        return rows.coalesce(1).mapInArrow(solve, kind)  # a block's files are one task's anyway, so they are not dealt again
 
     if blocks.n <= 1:
         return scratch.cut(solved(ways, seeds), "sweep")
@@ -173,7 +214,7 @@ def sweep(edges: DataFrame, seeds: DataFrame, fields: dict[str, str], down: bool
         leaving = part("cross", k)
         if leaving is not None:
             values = part("done", k).select(F.col("rev").alias("src"), *[F.col(c).alias(f"_{c}") for c in fields])
-            came = leaving.join(values, "src").select(F.col("dst").alias("rev"), F.col("dst_block").alias("block"), *[(F.col(f"_{c}") + F.col(c)).alias(c) for c in fields])
+            came = near(leaving).join(values, "src").select(F.col("dst").alias("rev"), F.col("dst_block").alias("block"), *[(F.col(f"_{c}") + F.col(c)).alias(c) for c in fields])
             sent = came.groupBy("rev", "block").agg(*[OPERATORS[op][0](c).alias(c) for c, op in fields.items()])
             sent.where(F.coalesce(*fields).isNotNull()).write.mode("append").partitionBy("block").parquet(at["sent"])
     out = spark.read.schema(f"{kind}, block long").parquet(at["done"]) if scratch.exists(spark, at["done"]) else spark.createDataFrame([], kind)
@@ -182,6 +223,63 @@ def sweep(edges: DataFrame, seeds: DataFrame, fields: dict[str, str], down: bool
     return out.select("rev", *fields)
 
 
+class Laid:
+    """Edges (child, parent) written block by block once, for many questions of what is reached; each reads only the blocks that it comes to."""
+
+    def __init__(self, revs: DataFrame, edges: DataFrame, size: int = BLOCK) -> None:
+        """``revs`` (rev) are nodes that may be asked about and have no edge; both tables are read several times."""
+        self.spark = edges.sparkSession
+        ways = ordered_edges(edges.select(F.col("child").cast("long").alias("child"), F.col("parent").cast("long").alias("parent")))
+        self.blocks = Blocks(revs.select(F.col("rev").cast("long").alias("rev")).unionAll(ways.select("child")).unionAll(ways.select("parent")), size)
+        self.home = scratch.folder(self.spark, "laid")
+        self.shuffles = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        placed = self.blocks.place(ways, "child", "parent")
+        if self.blocks.ranks is not None:
+            placed = scratch.cut(placed, "edges")
+        inner = placed.where("child_block = parent_block").select("child", "parent", F.col("child_block").alias("block"))
+        inner.repartition(self.shuffles, "block").write.partitionBy("block").parquet(f"{self.home}/inner")
+        cross = placed.where("child_block <> parent_block")
+        self.leaving = {}
+        for down, src, dst in ((False, "child", "parent"), (True, "parent", "child")):
+            rows = cross.select(F.col(src).alias("src"), F.col(dst).alias("dst"), F.col(f"{dst}_block").alias("dst_block"), F.col(f"{src}_block").alias("block"))
+            path = f"{self.home}/{'down' if down else 'up'}"
+            rows.repartition(self.shuffles, "block", F.expr("pmod(hash(dst), 16)")).write.partitionBy("block").parquet(path)
+            at = self.spark.read.schema("src long, dst long, dst_block long, block long").parquet(path)
+            self.leaving[down] = {r.block: r["count"] for r in at.groupBy("block").count().collect()}  # one number a block
+
+    def _part(self, path: str, k: int, schema: str) -> DataFrame | None:
+        path = f"{path}/block={k}"
+        return self.spark.read.schema(schema).parquet(path) if scratch.exists(self.spark, path) else None
+
+    def reached(self, seeds: DataFrame, down: bool) -> DataFrame:
+        """(rev) of the seeds, which must be among the nodes, and all that is reached from them, written."""
+        home, none = scratch.folder(self.spark, "reached"), F.lit(None).cast("long")
+        seeds = self.blocks.place(seeds.select(F.col("rev").cast("long").alias("rev")), "rev").withColumnRenamed("rev_block", "block")
+        seeds.repartition(self.shuffles, "block").write.partitionBy("block").parquet(f"{home}/sent")
+        src, dst = ("parent", "child") if down else ("child", "parent")
+        solve, zero = _solver({"seen": "any"}, down), F.lit(0).cast("long").alias("seen")
+        for k in range(self.blocks.n) if down else range(self.blocks.n - 1, -1, -1):
+            rows = self._part(f"{home}/sent", k, "rev long")
+            if rows is None:
+                continue
+            rows = rows.select(F.col("rev").alias("src"), none.alias("dst"), zero)
+            inner = self._part(f"{self.home}/inner", k, "child long, parent long")
+            if inner is not None:
+                rows = rows.unionAll(inner.select(src, dst, zero))
+            rows.coalesce(1).mapInArrow(solve, "rev long, seen long").select("rev").write.parquet(f"{home}/done/block={k}")
+            leaving = self._part(f"{self.home}/{'down' if down else 'up'}", k, "src long, dst long, dst_block long")
+            if leaving is not None:
+                values = self._part(f"{home}/done", k, "rev long").withColumnRenamed("rev", "src")
+                came = near(leaving, self.leaving[down].get(k, 0)).join(values, "src").select(F.col("dst").alias("rev"), F.col("dst_block").alias("block")).distinct()
+                came.write.mode("append").partitionBy("block").parquet(f"{home}/sent")
+        if not scratch.exists(self.spark, f"{home}/done"):
+            return self.spark.createDataFrame([], "rev long")
+        return self.spark.read.schema("rev long, block long").parquet(f"{home}/done").select("rev")
+
+    def drop(self) -> None:
+        scratch.drop(self.spark, self.home)
+
+
 def derived(rows: DataFrame, new_id: Callable[[str | None, str | None, bytes | None], str], size: int = DERIVED, kept: str | None = None, revs: DataFrame | None = None) -> DataFrame:
     """(rev, new_node) of ``rows`` (rev, p1, p2, p1_id, p2_id, content): identifiers made of the parents' and the content.
 
