@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from revstrata.operators import dag, scratch, sweep
+from revstrata.operators import dag, history, scratch, sweep
 
 
 def plans(spark, since: int = -1) -> dict[int, str]:
@@ -38,3 +38,24 @@ def test_what_is_reached_is_solved_block_by_block_from_edges_laid_out_once(spark
             own = nodes.where(starts).select("rev")
             want = dag.descendants(nodes, edges, own) if down else dag.ancestors(nodes, edges, own)
             assert {r.rev for r in laid.reached(own, down).collect()} == {r.rev for r in want.collect()}
+
+
+def test_trees_are_dealt_once_to_all_their_sides(spark):
+    commits = spark.range(1, 400).select(F.col("id").alias("commit"), F.when(F.col("id") % 4 > 0, F.expr("id div 4")).alias("p1"), F.when(F.col("id") % 4 > 1, F.expr("id div 3")).alias("p2"))
+    files = spark.range(1, 400).select(F.col("id").alias("commit"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("k"))
+    trees = scratch.cut(files.where("(commit + k) % 3 > 0").select("commit", F.concat(F.lit("f"), "k").alias("path"), F.concat(F.lit("n"), (F.col("commit") % F.col("k")).cast("string")).alias("file_node")))
+    held = {(r.commit, r.path): r.file_node for r in trees.collect()}
+    for one_sided in (False, True):
+        want = set()
+        for c, p1, p2 in commits.collect():
+            for path in ("f1", "f2", "f3", "f4"):
+                new, a, b = (held.get((x, path)) for x in (c, p1, p2))
+                if p1 is None and new is not None:
+                    want.add((c, path, new, ()))
+                elif p1 is not None and p2 is None and new != a:
+                    want.add((c, path, new, (a,)))
+                elif p1 is not None and p2 is not None and ((new != a or new != b) if one_sided else (new != a and new != b)):
+                    want.add((c, path, new, (a, b)))
+        got = history.changes_of(trees, commits, one_sided)
+        assert {(r.commit, r.path, r.file_node, tuple(r.parents)) for r in got.collect()} == want
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
