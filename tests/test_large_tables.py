@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from revstrata.operators import dag, history, scratch, sweep
+from revstrata.operators import dag, delta, history, scratch, sweep
 
 
 def plans(spark, since: int = -1) -> dict[int, str]:
@@ -59,3 +59,12 @@ def test_trees_are_dealt_once_to_all_their_sides(spark):
         got = history.changes_of(trees, commits, one_sided)
         assert {(r.commit, r.path, r.file_node, tuple(r.parents)) for r in got.collect()} == want
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_lines_in_step_are_kept_without_a_search(monkeypatch):
+    def searched(*a, **k):
+        raise AssertionError("lines were searched")
+
+    monkeypatch.setattr(delta.difflib, "SequenceMatcher", searched)
+    assert delta.line_hunks(b"m1\na1\n60 0\nb7\n\norder 1", b"m2\na2\n120 0\nb7\n\norder 2") == [(0, 11, b"m2\na2\n120 0\n"), (15, 22, b"order 2")]
+    assert delta.line_hunks(b"x\nk\nl\ny\n", b"k\nz\nl\n") == [(0, 2, b""), (4, 4, b"z\n"), (6, 8, b"")]
