@@ -69,7 +69,7 @@ class Blocks:
         self.ranks = None
         if width > max(4 * n, size):
             self.ranks = scratch.cut(_ranked(revs.distinct()).select("rev", F.expr(f"rank div {size}").alias("block")))
-            width = n = self.ranks.count()
+            width = self.ranked = self.ranks.count()
         self.n = -(-width // size)
 
     def place(self, rows: DataFrame, *columns: str) -> DataFrame:
@@ -78,7 +78,7 @@ class Blocks:
             if self.ranks is None:
                 rows = rows.withColumn(f"{c}_block", F.expr(f"({c} - {self.low}) div {self.size}"))
             else:
-                rows = rows.join(self.ranks.select(F.col("rev").alias(c), F.col("block").alias(f"{c}_block")), c)
+                rows = rows.join(near(self.ranks.select(F.col("rev").alias(c), F.col("block").alias(f"{c}_block")), self.ranked), c)
         return rows
 
 

@@ -40,6 +40,15 @@ def test_what_is_reached_is_solved_block_by_block_from_edges_laid_out_once(spark
             assert {r.rev for r in laid.reached(own, down).collect()} == {r.rev for r in want.collect()}
 
 
+def test_ranks_of_many_revs_are_not_sent_to_every_task(spark, monkeypatch):
+    revs = scratch.cut(spark.range(50).select((F.col("id") * 1000).alias("rev")))
+    blocks = sweep.Blocks(revs, 10)
+    plan = lambda: blocks.place(revs, "rev")._jdf.queryExecution().executedPlan().toString()
+    assert blocks.n == 5 and "BroadcastHashJoin" in plan()
+    monkeypatch.setattr(sweep, "FEW", 49)
+    assert "BroadcastHashJoin" not in plan()
+
+
 def test_trees_are_dealt_once_to_all_their_sides(spark):
     commits = spark.range(1, 400).select(F.col("id").alias("commit"), F.when(F.col("id") % 4 > 0, F.expr("id div 4")).alias("p1"), F.when(F.col("id") % 4 > 1, F.expr("id div 3")).alias("p2"))
     files = spark.range(1, 400).select(F.col("id").alias("commit"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("k"))
